@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratoform.catalog.registry import REGIONS, SINCE, query
@@ -152,19 +152,20 @@ def target_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def customer_product_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The wanted products shrink the lines before the join that finds the buyer.
-    products = target_products(spark, sf_dir)
-    lines = views.sales(spark, sf_dir).join(products, "product_id", "left_semi")
-    return plans.bought_pairs(
-        lines.join(views.buyers(spark, sf_dir), "sale_id"), target_customers(spark, sf_dir), products
-    )
+    # Lines and headers are both cut to what is wanted before they are joined.
+    lines = views.sales(spark, sf_dir).join(target_products(spark, sf_dir), "product_id", "left_semi")
+    headers = plans.having_row(views.buyers(spark, sf_dir), target_customers(spark, sf_dir), "customer_id")
+    return plans.distinct_pairs(lines.join(headers, "sale_id"))
+
+
+def subsets() -> dict[str, Column]:
+    return {
+        "all": F.lit(True),
+        "recent": F.col("sale_date") >= F.lit(SINCE),
+        "high value": F.col("net_amount") > 100_000,
+    }
 
 
-SUBSETS = {
-    "all": F.lit(True),
-    "recent": F.col("sale_date") >= F.lit(SINCE),
-    "high value": F.col("net_amount") > 100_000,
-}
 _SUBSET_TESTS = {
     "all": "TRUE",
     "recent": "sale_date >= DATE '1998-01-01'",
@@ -184,7 +185,7 @@ def subsets_sql(measure: str) -> str:
 
 @query("distinct_by_subset", subsets_sql("count(DISTINCT customer_id) AS customers"))
 def distinct_by_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.distinct_customers(views.sales_with_customer(spark, sf_dir), SUBSETS)
+    return plans.distinct_customers(views.sales_with_customer(spark, sf_dir), subsets())
 
 
 @query(
@@ -219,9 +220,8 @@ def point_lookup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers looked up by id; every second id is unknown."""
     known = target_customers(spark, sf_dir)
     probes = known.unionByName(unknown_ids(known, "customer_id"))
-    headers = views.buyers(spark, sf_dir).join(probes, "customer_id", "left_semi")
-    lines = views.sales(spark, sf_dir).join(headers, "sale_id")
-    return plans.lookup(probes, "customer_id", lines)
+    headers = plans.having_row(views.buyers(spark, sf_dir), probes, "customer_id")
+    return plans.lookup(probes, "customer_id", views.totals_by_customer(views.sales(spark, sf_dir), headers))
 
 
 def unknown_ids(known: DataFrame, key: str) -> DataFrame:

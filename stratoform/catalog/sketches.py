@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratoform.catalog.analytics import (
-    SUBSETS,
     customer_product_pairs,
+    subsets,
     subsets_sql,
     target_customers,
     target_products,
@@ -39,9 +39,9 @@ from stratoform.session import stage
 PORTABLE = Hash.PORTABLE
 
 
-def key_filter(df: DataFrame, key: str) -> BloomFilter:
+def key_filter(df: DataFrame, key: str, kind: Hash = PORTABLE) -> BloomFilter:
     """Filter over a key column, sized by the number of its rows."""
-    return BloomFilter.build(df, key, df.count(), kind=PORTABLE)
+    return BloomFilter.build(df, key, df.count(), kind=kind)
 
 
 # --- Bloom filters ---------------------------------------------------------
@@ -90,9 +90,8 @@ def bloom_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bloom_prefilter_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of the target customers; the sale headers are filtered while scanned."""
     targets = target_customers(spark, sf_dir)
-    headers = plans.prefiltered(
-        views.buyers(spark, sf_dir), "customer_id", targets, "customer_id", key_filter(targets, "customer_id")
-    )
+    members = key_filter(targets, "customer_id", Hash.FAST)
+    headers = plans.prefiltered(views.buyers(spark, sf_dir), "customer_id", targets, "customer_id", members)
     recent = sales_plans.since(views.sales(spark, sf_dir), SINCE)
     return views.totals_by_customer(recent, headers).select(
         "customer_id", F.col("lines").alias("total_sales"), F.col("net").alias("total_revenue")
@@ -135,13 +134,12 @@ def bloom_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     rows = None
     for name, (df, column) in domains.items():
-        built = plans.domain_filter(df, column, PORTABLE)
-        members = df.agg(F.count_distinct(column)).scalar()
+        built, members = plans.domain_filter(df, column, PORTABLE)
         row = built.words.agg(F.sum(F.bit_count("bits")).alias("set_bits")).select(
             F.lit(name).alias("domain"),
             F.lit(built.size).cast("bigint").alias("bits"),
             F.lit(built.hashes).alias("hashes"),
-            members.alias("members"),
+            F.lit(members).cast("bigint").alias("members"),
             "set_bits",
         )
         rows = row if rows is None else rows.unionByName(row)
@@ -198,9 +196,9 @@ def hll_by_day_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subset estimates from one stored sketch per day and value class."""
     sales = views.sales_with_customer(spark, sf_dir)
     parts = stage(plans.subset_sketches(sales, 100_000), "customer-sketches")
-    in_sketch = {**SUBSETS, "high value": F.col("high_value")}
+    in_sketch = {**subsets(), "high value": F.col("high_value")}
     estimates = plans.subset_estimates(parts, in_sketch)
-    actual = sales_plans.distinct_customers(sales, SUBSETS).withColumnRenamed("customers", "actual")
+    actual = sales_plans.distinct_customers(sales, subsets()).withColumnRenamed("customers", "actual")
     return estimates.join(actual, "subset").select("subset", "actual", within(F.col("estimate"), F.col("actual")))
 
 
@@ -366,7 +364,7 @@ def sketch_accuracy_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
              sized AS (SELECT 'bloom' AS structure, (m // 64 + 1) * 8 AS sketch_bytes FROM parameters
                        UNION ALL SELECT 'count_min', 40000 UNION ALL SELECT 'hyperloglog', 4096)
         SELECT structure, column_name, sketch_bytes, raw_bytes,
-               round(CAST(raw_bytes AS DOUBLE) / sketch_bytes, 4) AS ratio
+               CAST(raw_bytes AS DOUBLE) / sketch_bytes AS ratio
         FROM sized, raw""",
 )
 def sketch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,7 +180,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int")
 
     def as_int(day: Column) -> Column:
-        return F.date_format(day, "yyyyMMdd").cast("int")
+        return F.year(day) * 10_000 + F.month(day) * 100 + F.day(day)
 
     ordered = as_int(F.col("o_orderdate"))
     return joined.select(

@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratoform.functions.hashing import Hash, positions
+from stratoform.functions.hashing import Hash, positions, with_positions
+from stratoform.session import stage
 
 # A filter up to this size is shipped to every task as one value; the same
 # bound Spark sets for its own runtime filters.
@@ -47,9 +48,10 @@ class BloomFilter:
         each task ORs its bits into words and only words are shuffled.
         """
         size, hashes = sizing(expected_items, false_positive_rate)
+        items = df.select(column).where(F.col(column).isNotNull())
+        hashed, at = with_positions(items, column, hashes, size, kind)
         words = (
-            df.where(F.col(column).isNotNull())
-            .select(F.explode(F.array(*positions(F.col(column), hashes, size, kind))).alias("pos"))
+            hashed.select(F.explode(F.array(*at)).alias("pos"))
             .groupBy(F.shiftright("pos", 6).alias("word"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(pos & 63 as int)))").alias("bits"))
         )
@@ -69,12 +71,18 @@ class BloomFilter:
     def ships(self) -> bool:
         return self.size_in_bytes <= MAX_SHIPPED_BYTES
 
+    def stored(self) -> BloomFilter:
+        """The same filter with its words written, for use in several queries."""
+        return BloomFilter(stage(self.words, "bloom"), self.size, self.hashes, self.kind)
+
     def might_contain(self, column: Column) -> Column:
         """Probe as an expression on the scan; only for a filter that ``ships``."""
         if not self.ships():
             raise ValueError(f"a filter of {self.size_in_bytes} bytes is probed with mark()")
+        return self._all_set(positions(column, self.hashes, self.size, self.kind))
+
+    def _all_set(self, at: list[Column]) -> Column:
         bits = self._dense().scalar()
-        at = positions(column, self.hashes, self.size, self.kind)
         tests = [F.get(bits, F.shiftright(p, 6).cast("int")).bitwiseAND(_bit(p)) != 0 for p in at]
         return reduce(lambda a, b: a & b, tests)
 
@@ -85,10 +93,11 @@ class BloomFilter:
         value, and the answer joined back.
         """
         if self.ships():
-            return df.withColumn(output, F.coalesce(self.might_contain(F.col(column)), F.lit(False)))
+            hashed, at = with_positions(df, column, self.hashes, self.size, self.kind)
+            return hashed.select(*df.columns, F.coalesce(self._all_set(at), F.lit(False)).alias(output))
         probes = df.select(F.col(column).alias("_item")).where(F.col("_item").isNotNull()).distinct()
-        at = positions(F.col("_item"), self.hashes, self.size, self.kind)
-        at = probes.select("_item", F.explode(F.array(*at)).alias("pos"))
+        hashed, at = with_positions(probes, "_item", self.hashes, self.size, self.kind)
+        at = hashed.select("_item", F.explode(F.array(*at)).alias("pos"))
         at = at.withColumn("word", F.shiftright("pos", 6))
         answers = (
             at.join(self.words, "word", "left")

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratoform.functions.hashing import Hash, positions
+from stratoform.functions.hashing import Hash, with_positions
 from stratoform.operators.bloom import MAX_SHIPPED_BYTES
+from stratoform.session import stage
 
 
 @dataclass(frozen=True)
@@ -35,11 +36,11 @@ class CountMin:
         A task holds at most ``width * depth`` counters and shuffles only
         those, so neither the number of items nor a hot item matters.
         """
-        at = F.array(*positions(F.col(column), depth, width, kind))
         amount = F.lit(1) if weight is None else weight
+        items = df.where(F.col(column).isNotNull()).select(column, amount.cast("bigint").alias("amount"))
+        hashed, at = with_positions(items, column, depth, width, kind)
         cells = (
-            df.where(F.col(column).isNotNull())
-            .select(amount.cast("bigint").alias("amount"), F.posexplode(at).alias("line", "bucket"))
+            hashed.select("amount", F.posexplode(F.array(*at)).alias("line", "bucket"))
             .groupBy("line", "bucket")
             .agg(F.sum("amount").alias("total"))
         )
@@ -55,6 +56,10 @@ class CountMin:
         cells = self.cells.unionByName(other.cells).groupBy("line", "bucket").agg(F.sum("total").alias("total"))
         return CountMin(cells, self.width, self.depth, self.kind)
 
+    def stored(self) -> CountMin:
+        """The same sketch with its counters written, for use in several queries."""
+        return CountMin(stage(self.cells, "countmin"), self.width, self.depth, self.kind)
+
     def estimate(self, df: DataFrame, column: str, output: str = "estimate") -> DataFrame:
         """``df`` with the estimated weight of each value; never below the true one.
 
@@ -62,13 +67,14 @@ class CountMin:
         """
         if self.size_in_bytes <= MAX_SHIPPED_BYTES:
             totals = self._dense().scalar()
-            at = positions(F.col(column), self.depth, self.width, self.kind)
+            hashed, at = with_positions(df, column, self.depth, self.width, self.kind)
             read = [F.get(totals, (p + line * self.width).cast("int")) for line, p in enumerate(at)]
-            return df.withColumn(output, F.coalesce(F.array_min(F.array(*read)), F.lit(0).cast("bigint")))
+            least = F.coalesce(F.array_min(F.array(*read)), F.lit(0).cast("bigint"))
+            return hashed.select(*df.columns, least.alias(output))
         items = df.select(F.col(column).alias("_item")).where(F.col("_item").isNotNull()).distinct()
-        at = F.array(*positions(F.col("_item"), self.depth, self.width, self.kind))
+        hashed, at = with_positions(items, "_item", self.depth, self.width, self.kind)
         answers = (
-            items.select("_item", F.posexplode(at).alias("line", "bucket"))
+            hashed.select("_item", F.posexplode(F.array(*at)).alias("line", "bucket"))
             .join(self.cells, ["line", "bucket"], "left")
             .groupBy("_item")
             .agg(F.min(F.coalesce("total", F.lit(0))).alias(output))

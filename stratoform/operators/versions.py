@@ -32,11 +32,15 @@ def with_next_start(
     by_day = by_day.withColumn("_next_day", F.lead("_first").over(calendar)).drop("_first")
 
     within_day = Window.partitionBy(key, "_day").orderBy(start, *tiebreak)
-    rows = df.withColumn("_day", day).withColumn("_same_day", F.lead(start).over(within_day))
+    # A row without a start can be followed by another one, so a null does not mean "last".
+    following = F.lead(F.struct(start)).over(within_day)
+    rows = df.withColumn("_day", day).withColumn("_same_day", following)
     joined = rows.join(by_day, _same(rows, by_day, [(key, "_key"), ("_day", "_on")]), "left")
     return joined.select(
         *[rows[c] for c in df.columns],
-        F.coalesce("_same_day", "_next_day").alias(output),
+        F.when(F.col("_same_day").isNull(), F.col("_next_day"))
+        .otherwise(F.col(f"_same_day.{start}"))
+        .alias(output),
     )
 
 

@@ -149,12 +149,12 @@ def in_regions(customers: DataFrame, regions: Sequence[str]) -> DataFrame:
 
 def bought_pairs(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Distinct (customer, product) pairs among the target customers and products."""
-    return (
-        sales.join(customers, "customer_id", "left_semi")
-        .join(products, "product_id", "left_semi")
-        .select("customer_id", "product_id")
-        .distinct()
-    )
+    wanted = sales.join(customers, "customer_id", "left_semi").join(products, "product_id", "left_semi")
+    return distinct_pairs(wanted)
+
+
+def distinct_pairs(sales: DataFrame) -> DataFrame:
+    return sales.select("customer_id", "product_id").distinct()
 
 
 def distinct_customers(sales: DataFrame, subsets: dict[str, Column]) -> DataFrame:
@@ -175,11 +175,10 @@ def distinct_customers(sales: DataFrame, subsets: dict[str, Column]) -> DataFram
     return counted.select(F.explode(pairs).alias("pair")).select("pair.*")
 
 
-def lookup(probes: DataFrame, key: str, sales: DataFrame) -> DataFrame:
-    """For each probed key whether it has sales, and how many."""
-    hits = sales.join(probes, key, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("sale_count"))
-    found = probes.select(key).distinct().join(hits, key, "left")
-    count = F.coalesce("sale_count", F.lit(0).cast("bigint"))
+def lookup(probes: DataFrame, key: str, by_key: DataFrame) -> DataFrame:
+    """For each probed key whether it has sales, and how many; from the totals per key."""
+    found = probes.select(key).distinct().join(by_key.select(key, "lines"), key, "left")
+    count = F.coalesce("lines", F.lit(0).cast("bigint"))
     return found.select(key, (count > 0).alias("found"), count.alias("sale_count"))
 
 

@@ -13,12 +13,19 @@ from stratoform.functions.text import composite
 from stratoform.operators import distinct
 from stratoform.operators.bloom import BloomFilter
 from stratoform.operators.countmin import CountMin
+from stratoform.session import stage
 
 
-def domain_filter(df: DataFrame, column: str, kind: Hash = Hash.FAST) -> BloomFilter:
-    """Bloom filter over the distinct values of a column, sized for twice as many."""
+def domain_filter(df: DataFrame, column: str, kind: Hash = Hash.FAST) -> tuple[BloomFilter, int]:
+    """Bloom filter over the distinct values of a column, and their number.
+
+    It is sized for twice as many, to leave room for new values. The distinct
+    values are stored, as they are read once to count and once to build.
+    """
     values = df.select(F.col(column).cast("string").alias("value")).where("value is not null").distinct()
-    return BloomFilter.build(values, "value", 2 * values.count(), kind=kind)
+    known = stage(values, f"domain-{column}")
+    members = known.count()
+    return BloomFilter.build(known, "value", 2 * members, kind=kind), members
 
 
 def prefiltered(
@@ -77,8 +84,12 @@ def pair_accuracy(
 
     The predicted pairs are all combinations of the valid ids. Their number is
     a product and the hits are the exact pairs with both ids valid, so the
-    combinations are not built. Ratios without a denominator are null.
+    combinations are not built. Ratios without a denominator are null. All
+    three inputs are used more than once and therefore stored first.
     """
+    valid_customers = stage(valid_customers, "valid-customers")
+    valid_products = stage(valid_products, "valid-products")
+    exact_pairs = stage(exact_pairs, "exact-pairs")
     hits = exact_pairs.join(valid_customers, "customer_id", "left_semi").join(
         valid_products, "product_id", "left_semi"
     )
@@ -179,23 +190,28 @@ def size_report(
 
     ``raw`` gives the column as a one-column table per name.
     """
-    sized = [("bloom", c, f.size_in_bytes) for c, f in filters.items()]
-    sized += [("count_min", c, s.size_in_bytes) for c, s in counters.items()]
-    sized += [("hyperloglog", c, 1 << log_registers) for c in distinct_columns]
-    spark = next(iter(raw.values())).sparkSession
-    structures = spark.createDataFrame(sized, "structure string, column_name string, sketch_bytes bigint")
-    raw_sizes = reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(F.coalesce(F.sum(F.octet_length(F.col(df.columns[0]).cast("string"))), F.lit(0)).alias("raw_bytes"))
-            .select(F.lit(name).alias("column_name"), F.col("raw_bytes").cast("bigint").alias("raw_bytes"))
-            for name, df in raw.items()
-        ],
-    )
-    return structures.join(raw_sizes, "column_name").select(
-        "structure",
-        "column_name",
-        "sketch_bytes",
-        "raw_bytes",
-        F.round(F.try_divide(F.col("raw_bytes").cast("double"), "sketch_bytes"), 4).alias("ratio"),
-    )
+    sizes = {c: [("bloom", f.size_in_bytes)] for c, f in filters.items()}
+    for column, sketch in counters.items():
+        sizes.setdefault(column, []).append(("count_min", sketch.size_in_bytes))
+    for column in distinct_columns:
+        sizes.setdefault(column, []).append(("hyperloglog", 1 << log_registers))
+
+    def report(column: str, df: DataFrame) -> DataFrame:
+        text = F.col(df.columns[0]).cast("string")
+        total = F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).cast("bigint")
+        structures = F.array(
+            *[
+                F.struct(F.lit(name).alias("structure"), F.lit(size).cast("bigint").alias("sketch_bytes"))
+                for name, size in sizes[column]
+            ]
+        )
+        measured = df.agg(total.alias("raw_bytes")).select(F.explode(structures).alias("s"), "raw_bytes")
+        return measured.select(
+            "s.structure",
+            F.lit(column).alias("column_name"),
+            "s.sketch_bytes",
+            "raw_bytes",
+            F.try_divide(F.col("raw_bytes").cast("double"), F.col("s.sketch_bytes")).alias("ratio"),
+        )
+
+    return reduce(DataFrame.unionByName, [report(column, df) for column, df in raw.items()])

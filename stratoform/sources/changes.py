@@ -48,6 +48,14 @@ class KeyedTable:
         key = F.to_json(F.struct(*self.keys))
         return df.withColumn("_bucket", bucket(key, self.buckets).cast("int"))
 
+    @staticmethod
+    def _compact(placed: DataFrame) -> DataFrame:
+        """Rows gathered per directory, so that not every task writes into each.
+
+        The rebalancing splits a large directory over tasks and joins small ones.
+        """
+        return placed.hint("rebalance", "_bucket")
+
     def exists(self, spark: SparkSession) -> bool:
         """Whether a load has put at least one row there."""
         try:
@@ -61,7 +69,7 @@ class KeyedTable:
     def replace(self, df: DataFrame) -> None:
         """Full load: these rows and no others."""
         rows = latest_per_key(df, self.keys, self.newest_by) if self.keys else df
-        placed = self._placed(rows)
+        placed = self._compact(self._placed(rows))
         placed.write.mode("overwrite").partitionBy("_bucket").parquet(self.path)
 
     def upsert(self, changes: DataFrame) -> None:
@@ -78,7 +86,8 @@ class KeyedTable:
         current = spark.read.parquet(self.path).where(F.col("_bucket").isin(touched))
         merged = upsert_latest(current.select(*placed.columns), placed, self.keys, self.newest_by)
         (
-            merged.write.mode("overwrite")
+            self._compact(merged)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_bucket")
             .parquet(self.path)

@@ -19,20 +19,18 @@ _CSV_TIMES = {"timestampFormat": _TIMESTAMP, "timestampNTZFormat": _TIMESTAMP}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Delimited file with a header that must name the columns of ``schema``."""
+    """Delimited file with a header that must name the columns of ``schema``.
+
+    An empty value is null, quoted or not.
+    """
     options = {**CSV_FORMAT, **_CSV_TIMES, "enforceSchema": "false", "mode": "FAILFAST"}
     return spark.read.options(**options).schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    # Blanks inside a value belong to it; an empty string is told from a null.
-    options = {
-        **CSV_FORMAT,
-        **_CSV_TIMES,
-        "emptyValue": '""',
-        "ignoreLeadingWhiteSpace": "false",
-        "ignoreTrailingWhiteSpace": "false",
-    }
+    # Blanks around a value belong to it.
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    options = {**CSV_FORMAT, **_CSV_TIMES, **blanks}
     df.write.mode("overwrite").options(**options).csv(path)
 
 
