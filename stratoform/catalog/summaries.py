@@ -101,7 +101,7 @@ def mv_filter_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_enhanced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = plans.daily_enhanced(views.sales_with_customer(spark, sf_dir))
+    summary = plans.daily_enhanced(views.sales_with_customer(spark, sf_dir), views.sales(spark, sf_dir))
     return stored(spark, "mv_daily_sales_enhanced", summary, "sale_date")
 
 

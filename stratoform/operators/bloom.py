@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,12 +26,16 @@ def sizing(expected_items: int, false_positive_rate: float = 0.01) -> tuple[int,
 
 @dataclass(frozen=True)
 class BloomFilter:
-    """Rows ``(word, bits)`` for the words with a bit set, and the parameters."""
+    """Rows ``(word, bits)`` for the words with a bit set, and the parameters.
+
+    ``packed`` is the same as one array, for a stored filter that ships.
+    """
 
     words: DataFrame
     size: int
     hashes: int
     kind: Hash
+    packed: DataFrame | None = None
 
     @classmethod
     def build(
@@ -66,14 +70,15 @@ class BloomFilter:
         if (self.size, self.hashes, self.kind) != (other.size, other.hashes, other.kind):
             raise ValueError("filters differ in size, hash count or hash function")
         words = self.words.unionByName(other.words).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-        return BloomFilter(words, self.size, self.hashes, self.kind)
+        return replace(self, words=words, packed=None)
 
     def ships(self) -> bool:
         return self.size_in_bytes <= MAX_SHIPPED_BYTES
 
     def stored(self) -> BloomFilter:
         """The same filter with its words written, for use in several queries."""
-        return BloomFilter(stage(self.words, "bloom"), self.size, self.hashes, self.kind)
+        kept = replace(self, words=stage(self.words, "bloom-words"))
+        return replace(kept, packed=stage(kept._dense(), "bloom-bits")) if kept.ships() else kept
 
     def might_contain(self, column: Column) -> Column:
         """Probe as an expression on the scan; only for a filter that ``ships``."""
@@ -82,7 +87,7 @@ class BloomFilter:
         return self._all_set(positions(column, self.hashes, self.size, self.kind))
 
     def _all_set(self, at: list[Column]) -> Column:
-        bits = self._dense().scalar()
+        bits = (self.packed or self._dense()).scalar()
         tests = [F.get(bits, F.shiftright(p, 6).cast("int")).bitwiseAND(_bit(p)) != 0 for p in at]
         return reduce(lambda a, b: a & b, tests)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +14,16 @@ from stratoform.session import stage
 
 @dataclass(frozen=True)
 class CountMin:
-    """Rows ``(line, bucket, total)`` for the non-zero counters."""
+    """Rows ``(line, bucket, total)`` for the non-zero counters.
+
+    ``packed`` is the same as one array, for a stored sketch that ships.
+    """
 
     cells: DataFrame
     width: int
     depth: int
     kind: Hash
+    packed: DataFrame | None = None
 
     @classmethod
     def build(
@@ -54,19 +58,23 @@ class CountMin:
         if (self.width, self.depth, self.kind) != (other.width, other.depth, other.kind):
             raise ValueError("sketches differ in width, depth or hash function")
         cells = self.cells.unionByName(other.cells).groupBy("line", "bucket").agg(F.sum("total").alias("total"))
-        return CountMin(cells, self.width, self.depth, self.kind)
+        return replace(self, cells=cells, packed=None)
+
+    def ships(self) -> bool:
+        return self.size_in_bytes <= MAX_SHIPPED_BYTES
 
     def stored(self) -> CountMin:
         """The same sketch with its counters written, for use in several queries."""
-        return CountMin(stage(self.cells, "countmin"), self.width, self.depth, self.kind)
+        kept = replace(self, cells=stage(self.cells, "countmin-cells"))
+        return replace(kept, packed=stage(kept._dense(), "countmin-totals")) if kept.ships() else kept
 
     def estimate(self, df: DataFrame, column: str, output: str = "estimate") -> DataFrame:
         """``df`` with the estimated weight of each value; never below the true one.
 
         A null value has weight zero, as nulls are not counted.
         """
-        if self.size_in_bytes <= MAX_SHIPPED_BYTES:
-            totals = self._dense().scalar()
+        if self.ships():
+            totals = (self.packed or self._dense()).scalar()
             hashed, at = with_positions(df, column, self.depth, self.width, self.kind)
             read = [F.get(totals, (p + line * self.width).cast("int")) for line, p in enumerate(at)]
             least = F.coalesce(F.array_min(F.array(*read)), F.lit(0).cast("bigint"))
