@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratoform.catalog.registry import SINCE, query
 from stratoform.catalog.sql import hash1, with_tables
 from stratoform.functions.amounts import money
+from stratoform.functions.dates import instant
 from stratoform.functions.hashing import Hash
 from stratoform.model import views
 from stratoform.session import scratch_path
@@ -117,7 +118,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full load up to a day, then the changes since a day earlier merged in twice."""
     events = views.table(spark, sf_dir, "events")
     target = KeyedTable(scratch_path(spark, "latest-event"), ("user_id",), ("ts", "event_id"), buckets=16)
-    target.replace(events.where(F.col("ts") <= F.lit(CUTOFF).cast("timestamp_ntz")))
+    target.replace(events.where(F.col("ts") <= instant(CUTOFF, events.schema["ts"].dataType)))
     changes = changed_since(events, "ts", CUTOFF - WINDOW)
     target.upsert(changes)
     target.upsert(changes)
@@ -154,7 +155,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of a load of four tables, one of which does not exist."""
     root = scratch_path(spark, "bronze")
     events = views.table(spark, sf_dir, "events")
-    known = events.where(F.col("ts") <= F.lit(CUTOFF).cast("timestamp_ntz"))
+    known = events.where(F.col("ts") <= instant(CUTOFF, events.schema["ts"].dataType))
 
     def load(name: str, source: object, key: str, change_time: str | None) -> TableLoad:
         order = (change_time or key,)

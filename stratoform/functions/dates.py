@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 # The range of integer dates that the quality rule accepts.
 INT_DATE_MIN = 19000101
@@ -29,6 +30,17 @@ def is_bad_int_date(value: Column) -> Column:
     )
 
 
+def instant(value: dt.datetime, kind: DataType) -> Column:
+    """Literal for comparison with a column of type ``kind``.
+
+    A timestamp without time zone is compared by its wall-clock reading, so it
+    must not pass through the session's time zone.
+    """
+    if isinstance(kind, TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value)
+
+
 def past_or_null(value: Column, today: dt.date) -> Column:
     return F.when(value <= F.lit(today), value)
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from stratoform.functions.dates import instant
 from stratoform.functions.hashing import bucket
 from stratoform.operators.latest import latest_per_key, upsert_latest
 
@@ -23,8 +24,7 @@ def newest(df: DataFrame, change_time: str) -> dt.datetime | None:
 
 def changed_since(source: DataFrame, change_time: str, watermark: dt.datetime) -> DataFrame:
     """Rows changed after ``watermark``. As a literal it is filtered in the source."""
-    kind = source.schema[change_time].dataType
-    return source.where(F.col(change_time) > F.lit(watermark).cast(kind))
+    return source.where(F.col(change_time) > instant(watermark, source.schema[change_time].dataType))
 
 
 @dataclass(frozen=True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratoform.functions.hashing import Hash
 from stratoform.model.schemas import LAYERS, DeclaredTable, schema_of
+from stratoform.model.views import TABLES, table
 from stratoform.session import scratch_root, stage
 from stratoform.sources.changes import KeyedTable, changed_since, newest
 from stratoform.sources.files import (
@@ -141,6 +142,18 @@ def test_changed_since(spark):
     assert rows(changed_since(df, "at", T(2024, 1, 1)), "key") == [(2,)]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_watermark_does_not_depend_on_the_time_zone(spark, kind):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        data = [(T(2024, 1, 1, 3),), (T(2024, 1, 1, 5),), (T(2024, 1, 1, 23),)]
+        df = spark.createDataFrame(data, f"at {kind}")
+        assert changed_since(df, "at", newest(df, "at")).count() == 0
+        assert changed_since(df, "at", T(2024, 1, 1, 4)).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def keyed(path, keys=("key",)):
     return KeyedTable(f"file://{path}", keys, ("at",), buckets=4)
 
@@ -256,6 +269,12 @@ def test_literal_rows(spark):
         rows_to_table(spark, "dim_locations", [{"planet": "Mars"}])
 
 
+def test_declared_schemas_are_those_of_the_files(spark, sf_dir):
+    for name in TABLES:
+        inferred = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema.simpleString()
+        assert table(spark, sf_dir, name).schema.simpleString() == inferred
+
+
 # --- scratch ---------------------------------------------------------------
 
 
