@@ -90,7 +90,7 @@ def bloom_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bloom_prefilter_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of the target customers; the sale headers are filtered while scanned."""
     targets = target_customers(spark, sf_dir)
-    members = key_filter(targets, "customer_id", Hash.FAST)
+    members = key_filter(targets, "customer_id", Hash.FAST).stored()
     headers = plans.prefiltered(views.buyers(spark, sf_dir), "customer_id", targets, "customer_id", members)
     recent = sales_plans.since(views.sales(spark, sf_dir), SINCE)
     return views.totals_by_customer(recent, headers).select(

@@ -19,7 +19,7 @@ from stratoform.session import scratch_path
 
 def stored(spark: SparkSession, name: str, df: DataFrame, *sort_by: str) -> DataFrame:
     """``df`` stored as a summary of its own and read back."""
-    store = plans.SummaryStore(spark, scratch_path(spark, "summaries"))
+    store = plans.SummaryStore(spark, scratch_path(spark, "summaries"), temporary=True)
     own_name = f"{name}_{uuid.uuid4().hex}"
     store.create(plans.Summary(own_name, lambda inputs: inputs["rows"], sort_by=sort_by), {"rows": df})
     return store.read(own_name)
@@ -45,7 +45,7 @@ def mv_refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = views.sales(spark, sf_dir)
     later = F.col("sale_date") >= F.lit(SINCE)
     name = f"mv_daily_sales_{uuid.uuid4().hex}"
-    store = plans.SummaryStore(spark, scratch_path(spark, "summaries"))
+    store = plans.SummaryStore(spark, scratch_path(spark, "summaries"), temporary=True)
     summary = plans.Summary(
         name, lambda inputs: plans.daily_sales(inputs["sales"]), plans.merge_daily_sales, ("sale_date",)
     )

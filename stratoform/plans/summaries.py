@@ -227,11 +227,13 @@ class SummaryStore:
     """Summaries as Parquet folders, each behind a catalog view of its name.
 
     A refresh writes a new folder and then moves the view, so readers never see
-    half a refresh and a refresh may read the summary it replaces.
+    half a refresh and a refresh may read the summary it replaces. A temporary
+    store registers its views for the session only.
     """
 
     spark: SparkSession
     path: str
+    temporary: bool = False
     defined: dict[str, Summary] = field(default_factory=dict)
 
     def create(self, summary: Summary, inputs: Inputs) -> None:
@@ -261,7 +263,10 @@ class SummaryStore:
         if summary.sort_by:
             df = df.repartitionByRange(*summary.sort_by).sortWithinPartitions(*summary.sort_by)
         df.write.parquet(folder)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {summary.name} AS SELECT * FROM parquet.`{folder}`")
+        if self.temporary:
+            self.spark.read.schema(df.schema).parquet(folder).createOrReplaceTempView(summary.name)
+        else:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {summary.name} AS SELECT * FROM parquet.`{folder}`")
 
 
 # --- answers ---------------------------------------------------------------

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +65,11 @@ class KeyedTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop("_bucket")
 
+    def publish(self, spark: SparkSession, name: str) -> None:
+        """Catalog view of that name over the rows, without the directory column."""
+        columns = ", ".join(f"`{c}`" for c in self.read(spark).columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{self.path}`")
+
     def replace(self, df: DataFrame) -> None:
         """Full load: these rows and no others."""
         rows = latest_per_key(df, self.keys, self.newest_by) if self.keys else df
