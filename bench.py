@@ -39,7 +39,7 @@ from stratoform.session import build_session, scratch_path, stage  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 
 # Timed end to end, including whatever they store.
 HEADLINE = (
