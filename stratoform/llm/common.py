@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 from functools import reduce
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratoform.session import stage
@@ -36,6 +41,25 @@ def binary(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in wide.to_pylist()]
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package, as ``--py-files`` would; once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.TemporaryDirectory()  # executors fetch the file while the application runs
+    atexit.register(folder.cleanup)
+    name = os.path.join(folder.name, f"{package.name}.zip")
+    with zipfile.ZipFile(name, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(name)
+    _SHIPPED.add(context.applicationId)
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """One call of ``f`` for each Arrow batch."""
 
@@ -44,6 +68,7 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | No
             if batch.num_rows and (out := f(batch)) is not None:
                 yield out
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -60,27 +85,36 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from each node that has an edge.
 
     ``edges`` has long columns ``a`` and ``b``. Each round hooks every node's
-    neighbours to the smallest one around it (large star), then the smaller
-    ones likewise (small star), so the number of rounds follows the logarithm
-    of the longest path. A round is written to the shared folder, and nothing
-    is collected but one count.
+    larger neighbours to the smallest one around it (large star), then its
+    smaller ones likewise (small star), so the number of rounds follows the
+    logarithm of the longest path. A round is written to the shared folder;
+    nothing is collected but a checksum, which ends the rounds when it repeats.
     """
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = stage(edges, "links")
+
+    def written(pairs: DataFrame) -> tuple[DataFrame, tuple]:
+        # What the sum of hashes leaves open, the count and two more sums decide.
+        seen = Observation()
+        h = F.xxhash64("a", "b")
+        observed = pairs.observe(
+            seen,
+            F.count(F.lit(1)).alias("n"),
+            F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+            F.sum(F.shiftrightunsigned(h, 32)).alias("high"),
+        )
+        return stage(observed, "links"), tuple(sorted(seen.get.items()))
+
+    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    pairs, before = written(pairs)
     for _ in range(max_rounds):
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        # Large star: larger neighbours of a node meet the smallest of its neighbourhood.
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        # Small star: a node and its smaller neighbours meet the smallest of them.
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(least, "a")
-        after = small.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        after = after.union(least.select("a", F.col("low").alias("b"))).where("a <> b").distinct()
-        after = stage(after, "links")
-        if after.join(edges, ["a", "b"], "left_anti").isEmpty() and edges.join(after, ["a", "b"], "left_anti").isEmpty():
-            return after.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                after.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+        small = large.join(least, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        pairs, after = written(small.union(least).distinct())
+        if after == before:
+            return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+                pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
-        edges = after
+        before = after
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratoform.llm import quality
+from stratoform.llm import decontaminate, langid, quality, simhash, tokens
 from stratoform.llm.sql import SQL
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(_table(spark, sf_dir, "documents"))
+
+
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judge(quality.ledger(_table(spark, sf_dir, "documents")))
     return rows.select(
@@ -31,7 +36,31 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Build] = {f.__name__: f for f in (op4_rule_ledger,)}
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(langid.is_training(F.col("doc_id"))))
+    return langid.predict(docs, model).withColumn("held_out", ~langid.is_training(F.col("doc_id")))
+
+
+def op9_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, benchmark).drop("text_hash")
+
+
+def op10_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Build] = {
+    f.__name__: f
+    for f in (
+        op3_bk_trees,
+        op4_rule_ledger,
+        op6_kneser_ney,
+        op9_suffix_decontamination,
+        op10_longest_match,
+    )
+}
 
 
 def all_queries() -> dict[str, tuple[Build, str | None]]:

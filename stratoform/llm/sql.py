@@ -44,4 +44,38 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from judged
 """
 
-SQL: dict[str, str] = {"op4_rule_ledger": OP4}
+OP9 = r"""
+with docs as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), items as (
+  select item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select item_id, w, least(10, len(w)) as n, unnest(range(1, greatest(len(w) - 8, 2))) as i
+        from items where len(w) > 0)
+), sizes as (select distinct n from windows), places as (
+  select r, n, i, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from docs, sizes where len(w) >= n)
+), hits as (
+  select r, i, n, item_id from places join windows using (n, s)
+), hit_words as (
+  select r, count(distinct k) as n_hit from (select r, unnest(range(i, i + n)) as k from (select distinct r, i, n from hits))
+  group by r
+), hit_items as (
+  select r, count(distinct item_id) as n_items,
+         array_to_string(list_sort(list_distinct(list(cast(item_id as varchar)))), ',') as ids
+  from hits group by r
+)
+select doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit_words using (r) left join hit_items using (r)
+"""
+
+SQL: dict[str, str] = {"op4_rule_ledger": OP4, "op9_suffix_decontamination": OP9}
