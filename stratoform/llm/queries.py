@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratoform.llm import decontaminate, langid, quality, simhash, tokens
+from stratoform.llm import decontaminate, langid, mixing, quality, simhash, suffix_dedup, tokens, toxicity
 from stratoform.llm.sql import SQL
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -36,12 +36,28 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents")).drop("text_hash", "parts")
+
+
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.train(docs.where(langid.is_training(F.col("doc_id"))))
     return langid.predict(docs, model).withColumn("held_out", ~langid.is_training(F.col("doc_id")))
 
 
+def op7_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = ~toxicity.is_training(F.col("doc_id"))
+    characters = toxicity.character_model(docs)
+    scorer = toxicity.learn(characters, docs.where(~held_out), labels) if characters else None
+    return toxicity.scores(docs, scorer).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op8_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.contamination(docs, benchmark).drop("text_hash")
@@ -56,7 +72,10 @@ QUERIES: dict[str, Build] = {
     for f in (
         op3_bk_trees,
         op4_rule_ledger,
+        op5_sainte_lague,
         op6_kneser_ney,
+        op7_noisy_channel,
+        op8_prefix_doubling,
         op9_suffix_decontamination,
         op10_longest_match,
     )
