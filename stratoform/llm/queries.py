@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratoform.llm import decontaminate, langid, mixing, quality, simhash, suffix_dedup, tokens, toxicity
+from stratoform.llm import decontaminate, langid, mixing, quality, simhash, substring, suffix_dedup, tokens, toxicity
 from stratoform.llm.sql import SQL
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ def op10_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Build] = {
     f.__name__: f
     for f in (
+        op1_collinear_chains,
         op3_bk_trees,
         op4_rule_ledger,
         op5_sainte_lague,
