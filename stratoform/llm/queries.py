@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratoform.llm import decontaminate, langid, mixing, quality, simhash, substring, suffix_dedup, tokens, toxicity
+from stratoform.llm import decontaminate, langid, mixing, pii, quality, simhash, substring, suffix_dedup, tokens, toxicity
 from stratoform.llm.sql import SQL
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op1_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.passages(_table(spark, sf_dir, "documents"))
 
 
+def op2_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(pii.labelled_windows(docs)))
+
+
 def op3_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Build] = {
     f.__name__: f
     for f in (
         op1_collinear_chains,
+        op2_bilstm_crf,
         op3_bk_trees,
         op4_rule_ledger,
         op5_sainte_lague,

@@ -258,14 +258,8 @@ def fit_line(evidence: np.ndarray, labels: np.ndarray, rounds: int = 30, ridge:
 
 def character_model(docs: DataFrame) -> CharacterModel | None:
     """The language model of all texts; None if none has a letter."""
-    counted = langid.gram_counts(docs.select("text", F.lit("").alias("lang"))).limit(langid.MAX_GRAMS + 1).toArrow()
-    if counted.num_rows > langid.MAX_GRAMS:
-        raise ValueError(f"more than {langid.MAX_GRAMS} distinct n-grams")
-    if not counted.num_rows:
-        return None
-    grams, n = counted["gram"].to_numpy().view(np.uint64), counted["n"].to_numpy()
-    order = np.argsort(grams)
-    return CharacterModel(langid.estimate({"": (grams[order], n[order])}))
+    counts = langid.collected_counts(docs.select("text", F.lit("").alias("lang")))
+    return CharacterModel(langid.estimate(counts)) if counts else None
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Scorer | None:
