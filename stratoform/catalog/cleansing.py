@@ -9,7 +9,7 @@ from stratoform.catalog.registry import BATCH_TIME, query
 from stratoform.catalog.sql import parsed, with_tables
 from stratoform.functions import amounts, dates
 from stratoform.model import views
-from stratoform.plans.silver import TRANSFORMS
+from stratoform.plans.silver import REJECTS, TRANSFORMS
 
 
 def silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,16 @@ _register(
     "SELECT * REPLACE (CAST(prd_cost AS DOUBLE) AS prd_cost) FROM silver_products",
     "silver_products",
 )
+
+
+@query(
+    "rejected_products",
+    with_tables("SELECT prd_id, prd_key, '12x' AS prd_cost FROM raw_products WHERE bad_cost", "raw_products"),
+)
+def rejected_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return REJECTS["crm_prd_info"](views.raw_products(spark, sf_dir)).select("prd_id", "prd_key", "prd_cost")
+
+
 _register("clean_sales", "crm_sales_details", "SELECT * FROM silver_sales", "silver_sales")
 _register("clean_erp_customers", "erp_cust_az12", "SELECT * FROM silver_erp", "silver_erp")
 _register("clean_locations", "erp_loc_a101", "SELECT * FROM silver_locations", "silver_locations")

@@ -80,12 +80,13 @@ def staged_typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "staged_rejects",
-    f"""SELECT ord_id, amount, 'amount' AS unparsed FROM ({_STAGED})
-        WHERE ord_id IS NOT NULL AND amount = 'unknown'""",
+    f"""SELECT ord_id, amount, CASE WHEN amount = 'unknown' THEN 'amount' ELSE '' END AS unparsed,
+               CASE WHEN ord_id IS NULL THEN 'ord_id' ELSE '' END AS missing
+        FROM ({_STAGED}) WHERE ord_id IS NULL OR amount = 'unknown'""",
 )
 def staged_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = staged_orders(spark, sf_dir).rejected
-    return rejected.select(F.trim("ord_id").alias("ord_id"), "amount", "unparsed")
+    return rejected.select(F.trim("ord_id").alias("ord_id"), "amount", "unparsed", "missing")
 
 
 _COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS records FROM {t}" for t in ALL_TABLES)

@@ -44,6 +44,10 @@ def cycle(number: str, *choices: str | None) -> str:
     return f"CASE {number} % {len(choices)} {branches} END"
 
 
+def _long_tail(chosen: str, number: str) -> str:
+    return f"CASE WHEN {chosen} THEN repeat('x', 110) || ({number}) ELSE '' END"
+
+
 def parsed(digits: str) -> str:
     return (
         f"CASE WHEN length(CAST({digits} AS VARCHAR)) = 8 "
@@ -61,6 +65,7 @@ def mean(total: str, count: str) -> str:
 
 _GROUP = "(p_partkey // 3)"
 _CATEGORY = cycle(_GROUP, "AC-HE", "BI-MB", "CL-GL", "CO-PE")
+_DELIVERED = cycle(_GROUP, "AC-HE", "BI-MB", "CL-GL", "XX-XX")
 _STARTED = (
     f"(TIMESTAMP '1994-01-01' + to_days(CAST(p_partkey % 3 * 900 + {_GROUP} % 300 AS INTEGER)))"
 )
@@ -117,20 +122,24 @@ FRAGMENTS = {
               FROM raw_customers WHERE cst_id IS NOT NULL)
         WHERE rn = 1""",
     "raw_products": f"""
-        SELECT p_partkey AS prd_id, ({_CATEGORY}) || '-P' || {_GROUP} AS prd_key, p_name AS prd_nm,
+        SELECT p_partkey AS prd_id, ({_CATEGORY}) || '-P' || {_GROUP}
+                   || {_long_tail(f"{_GROUP} % 50 = 7", "p_partkey % 2")} AS prd_key, p_name AS prd_nm,
                CASE WHEN p_partkey % 29 <> 0 THEN CAST(p_retailprice AS DECIMAL(12,2)) END AS prd_cost,
+               p_partkey % 41 = 0 AS bad_cost,
                {cycle("p_partkey", "M ", "r", "S ", " t", "z", None)} AS prd_line,
                {_STARTED} AS prd_start_dt
         FROM part""",
-    "silver_products": """
+    "all_products": """
         SELECT prd_id, replace(substr(prd_key, 1, 5), '-', '_') AS cat_id, substr(prd_key, 7) AS prd_key, prd_nm,
                CAST(coalesce(prd_cost, 0) AS DECIMAL(10,2)) AS prd_cost,
                CASE upper(trim(prd_line)) WHEN 'M' THEN 'Mountain' WHEN 'R' THEN 'Road' WHEN 'S' THEN 'Other Sales'
                     WHEN 'T' THEN 'Touring' ELSE 'n/a' END AS prd_line,
                CAST(prd_start_dt AS DATE) AS prd_start_dt,
                CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt, prd_id)
-                    - INTERVAL 1 DAY AS DATE) AS prd_end_dt
+                    - INTERVAL 1 DAY AS DATE) AS prd_end_dt,
+               bad_cost
         FROM raw_products""",
+    "silver_products": "SELECT * EXCLUDE (bad_cost) FROM all_products WHERE NOT bad_cost",
     "raw_sales": f"""
         SELECT 'SO' || l_orderkey AS sls_ord_num, 'P' || (l_partkey // 3) AS sls_prd_key, o_custkey AS sls_cust_id,
                CASE WHEN l_orderkey % 17 = 0 THEN 0 WHEN l_orderkey % 19 = 0 THEN {_ORDERED} % 1000000
@@ -152,7 +161,8 @@ FRAGMENTS = {
                     ELSE sls_price END AS sls_price
         FROM raw_sales""",
     "raw_erp": f"""
-        SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'NAS' ELSE '' END || 'AW' || {_CUST} AS cid,
+        SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'NAS' ELSE '' END || 'AW' || {_CUST}
+                   || {_long_tail("o_orderkey % 40 = 0", "o_orderkey % 3")} AS cid,
                CASE WHEN o_orderkey % 50 = 0 THEN DATE '2999-01-01'
                     ELSE DATE '1940-01-01' + CAST(o_orderkey * 37 % 25000 AS INTEGER) END AS bdate,
                {cycle("o_orderkey", "female ", "M", "F", " Male", "", None, "x")} AS gen,
@@ -184,9 +194,9 @@ FRAGMENTS = {
     "silver_categories": f"""
         SELECT id, cat, subcat, maintenance
         FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY changed DESC, cat, subcat, maintenance) AS rn
-              FROM (SELECT replace({_CATEGORY}, '-', '_') AS id, substr({_CATEGORY}, 1, 2) AS cat, p_type AS subcat,
+              FROM (SELECT replace({_DELIVERED}, '-', '_') AS id, substr({_DELIVERED}, 1, 2) AS cat, p_type AS subcat,
                            {cycle("p_partkey", "Yes", "No")} AS maintenance, p_partkey % 1000000 AS changed
-                    FROM part WHERE {_GROUP} % 4 <> 3))
+                    FROM part))
         WHERE rn = 1""",
     "gold_customers": """
         SELECT row_number() OVER (ORDER BY cst_id) AS customer_key, cst_id AS customer_id, cst_key AS customer_number,
@@ -275,7 +285,8 @@ def countmin_estimates(items: str, item: str, cells: str) -> str:
 NEEDS = {
     "recent": ("sales",),
     "silver_customers": ("raw_customers",),
-    "silver_products": ("raw_products",),
+    "all_products": ("raw_products",),
+    "silver_products": ("all_products",),
     "silver_sales": ("raw_sales",),
     "silver_erp": ("raw_erp",),
     "silver_locations": ("raw_locations",),

@@ -12,8 +12,7 @@ LOG_TEXT_LENGTH = 255
 
 
 def without_prefix(value: Column, prefix: str = ERP_PREFIX) -> Column:
-    rest = F.substring(value, len(prefix) + 1, 100)
-    return F.when(value.startswith(prefix), rest).otherwise(value)
+    return F.when(value.startswith(prefix), F.substr(value, F.lit(len(prefix) + 1))).otherwise(value)
 
 
 def without_dashes(value: Column) -> Column:
@@ -28,7 +27,7 @@ def category_of(product_key: Column) -> Column:
 def product_of(product_key: Column) -> Column:
     """The part after the category; a key too short to have one is kept whole."""
     start = CATEGORY_LENGTH + 2
-    return F.when(F.length(product_key) >= start, F.substring(product_key, start, 100)).otherwise(product_key)
+    return F.when(F.length(product_key) >= start, F.substr(product_key, F.lit(start))).otherwise(product_key)
 
 
 def blank_to_null(value: Column) -> Column:
@@ -41,6 +40,7 @@ def padded_key(prefix: str, number: Column, width: int) -> Column:
 
 
 def log_text(value: Column) -> Column:
+    """What fits into a text column of the job tables of a database."""
     return F.left(value, F.lit(LOG_TEXT_LENGTH))
 
 

@@ -141,6 +141,11 @@ def _cycle(number: Column, choices: Sequence[str | None]) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in choices]), (number % len(choices) + 1).cast("int"))
 
 
+def _long_tail(chosen: Column, number: Column) -> Column:
+    """For some keys an end that makes them long and differs in its last character only."""
+    return F.when(chosen, F.concat(F.lit("x" * 110), number.cast("string"))).otherwise("")
+
+
 # --- raw tables of the layered warehouse -----------------------------------
 
 
@@ -177,9 +182,11 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return part.select(
         key.alias("prd_id"),
-        F.concat_ws("-P", _cycle(group, _CATEGORIES), group.cast("string")).alias("prd_key"),
+        F.concat(_cycle(group, _CATEGORIES), F.lit("-P"), group.cast("string"), _long_tail(group % 50 == 7, key % 2)).alias(
+            "prd_key"
+        ),
         F.col("p_name").alias("prd_nm"),
-        F.when(key % 29 != 0, money(F.col("p_retailprice")).cast("string")).alias("prd_cost"),
+        F.when(key % 41 == 0, "12x").when(key % 29 != 0, money(F.col("p_retailprice")).cast("string")).alias("prd_cost"),
         _cycle(key, ["M ", "r", "S ", " t", "z", None]).alias("prd_line"),
         started.cast("timestamp").alias("prd_start_dt"),
         F.lit(None).cast("timestamp").alias("prd_end_dt"),
@@ -220,7 +227,7 @@ def raw_erp_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = F.when(key % 2 == 0, "NAS").otherwise("")
     born = F.date_add(F.lit("1940-01-01").cast("date"), (key * 37 % 25_000).cast("int"))
     return orders.select(
-        F.concat(prefix, F.format_string("AW%08d", cust)).alias("cid"),
+        F.concat(prefix, F.format_string("AW%08d", cust), _long_tail(key % 40 == 0, key % 3)).alias("cid"),
         F.when(key % 50 == 0, F.lit("2999-01-01").cast("date")).otherwise(born).alias("bdate"),
         _cycle(key, ["female ", "M", "F", " Male", "", None, "x"]).alias("gen"),
         _changed_at(F.col("o_orderdate"), key).alias("src_update_at"),
@@ -239,11 +246,11 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part delivers its category; the fourth one is never delivered."""
+    """Every part delivers its category; the fourth one comes under a code that no product has."""
     part = table(spark, sf_dir, "part")
     group = _product_group(F.col("p_partkey"))
-    code = F.regexp_replace(_cycle(group, _CATEGORIES), "-", "_")
-    return part.where(group % len(_CATEGORIES) != len(_CATEGORIES) - 1).select(
+    code = F.regexp_replace(_cycle(group, [*_CATEGORIES[:-1], "XX-XX"]), "-", "_")
+    return part.select(
         code.alias("id"),
         F.substring(code, 1, 2).alias("cat"),
         F.col("p_type").alias("subcat"),

@@ -38,12 +38,29 @@ def clean_customers(bronze: DataFrame, batch_time: dt.datetime) -> DataFrame:
     )
 
 
+def _cost() -> Column:
+    return text.blank_to_null(F.col("prd_cost")).try_cast("decimal(10,2)")
+
+
+def _cost_is_no_amount() -> Column:
+    return text.blank_to_null(F.col("prd_cost")).isNotNull() & _cost().isNull()
+
+
+def rejected_products(bronze: DataFrame) -> DataFrame:
+    """The latest record of each product id whose cost is given but is no amount of the silver type."""
+    return latest_per_key(bronze, ["prd_id"], [_CHANGED]).where(_cost_is_no_amount())
+
+
 def clean_products(bronze: DataFrame, batch_time: dt.datetime) -> DataFrame:
-    """One row per product id; a version ends the day before the next one of its key starts."""
+    """One row per product id; a version ends the day before the next one of its key starts.
+
+    A missing cost is 0. A record whose cost is no amount is left to
+    ``rejected_products``; its version still ends the one before it.
+    """
     versions = with_next_start(bronze, "prd_key", "prd_start_dt", ["prd_id", _CHANGED])
-    newest = latest_per_key(versions, ["prd_id"], [_CHANGED])
+    newest = latest_per_key(versions, ["prd_id"], [_CHANGED]).where(~_cost_is_no_amount())
     raw_key = F.col("prd_key")
-    cost = F.coalesce(F.col("prd_cost").try_cast("decimal(10,2)"), F.lit(0).cast("decimal(10,2)"))
+    cost = F.coalesce(_cost(), F.lit(0).cast("decimal(10,2)"))
     return newest.select(
         F.col("prd_id").cast("bigint").alias("prd_id"),
         text.category_of(raw_key).alias("cat_id"),
@@ -109,5 +126,9 @@ TRANSFORMS = {
 }
 
 
+#: Records that a transform sets aside, by table.
+REJECTS = {"crm_prd_info": rejected_products}
+
+
 def build_silver(bronze: dict[str, DataFrame], batch_time: dt.datetime) -> dict[str, DataFrame]:
     return {name: TRANSFORMS[name](df, batch_time) for name, df in bronze.items()}

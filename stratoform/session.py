@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
+_CLEANED_AT_END: set[str] = set()
 
 
 def build_session(app_name: str = "stratoform", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,20 +38,30 @@ def build_session(app_name: str = "stratoform", master: str | None = None, **con
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables, reachable from every executor.
+    """Folder for this application's intermediate tables, reachable from every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder of its own.
+    The cluster names its parent in ``spark.checkpoint.dir``; without that it
+    is below the session's warehouse. It is removed when the driver ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "")
+    parent = configured.rstrip("/") or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
     app_id = spark.sparkContext.applicationId
-    if configured:
-        return f"{configured.rstrip('/')}/stratoform/{app_id}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    if app_id not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app_id] = tempfile.mkdtemp(prefix="stratoform-")
-    return f"file://{_LOCAL_SCRATCH[app_id]}"
+    root = f"{parent}/stratoform/{app_id}"
+    if app_id not in _CLEANED_AT_END:
+        _CLEANED_AT_END.add(app_id)
+        atexit.register(_remove_at_end, spark, root)
+    return root
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of intermediate data, wherever it is; an absent one is left alone."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+
+
+def _remove_at_end(spark: SparkSession, root: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        remove(spark, root)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -51,8 +51,8 @@ class TypedLoad:
 def type_text_columns(staged: DataFrame, types: Mapping[str, str], required: Sequence[str]) -> TypedLoad:
     """Blank text becomes null, the rest is cast.
 
-    A row without a required value is dropped, as it is no record. A row with
-    text that does not parse is rejected with the names of those columns.
+    A row is rejected with the names of the columns whose text does not parse
+    (``unparsed``) and of the required ones without a value (``missing``).
     """
     text = {c: blank_to_null(F.col(c)) for c in types}
     typed = {c: text[c].try_cast(t) for c, t in types.items()}
@@ -60,11 +60,13 @@ def type_text_columns(staged: DataFrame, types: Mapping[str, str], required: Seq
         F.array(*[F.when(text[c].isNotNull() & typed[c].isNull(), c) for c in types]),
         lambda c: c.isNotNull(),
     )
-    present = reduce(lambda a, b: a & b, [text[c].isNotNull() for c in required], F.lit(True))
-    records = staged.where(present)
-    accepted = records.where(F.size(unparsed) == 0).select(*[typed[c].alias(c) for c in types])
-    rejected = records.withColumn("unparsed", F.array_join(unparsed, ",")).where("unparsed <> ''")
-    return TypedLoad(accepted, rejected)
+    missing = F.filter(
+        F.array(*[F.when(text[c].isNull(), c) for c in required], F.lit(None).cast("string")), lambda c: c.isNotNull()
+    )
+    good = (F.size(unparsed) == 0) & (F.size(missing) == 0)
+    accepted = staged.where(good).select(*[typed[c].alias(c) for c in types])
+    reasons = {"unparsed": F.array_join(unparsed, ","), "missing": F.array_join(missing, ",")}
+    return TypedLoad(accepted, staged.where(~good).withColumns(reasons))
 
 
 class Source:

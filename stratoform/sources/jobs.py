@@ -8,18 +8,16 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from stratoform.functions.text import LOG_TEXT_LENGTH
+from stratoform.functions.text import log_text
 from stratoform.model.schemas import schema_of
 
 # How the configuration table stores the load type.
 LOAD_TYPES = {"full": 0, "increment": 1}
 
 
-def _cut(text: str | None) -> str | None:
-    return None if text is None else text[:LOG_TEXT_LENGTH]
-
-
 @dataclass(frozen=True)
 class JobRun:
     job_name: str
@@ -51,13 +49,13 @@ def log_records(spark: SparkSession, runs: list[JobRun], created: dt.datetime) -
     rows = [
         (
             str(uuid.uuid4()),
-            _cut(r.job_name),
+            r.job_name,
             r.start_time.date(),
             r.start_time,
             r.end_time,
             r.record_count,
             r.status,
-            _cut(r.error_message),
+            r.error_message,
             created,
         )
         for r in runs
@@ -69,7 +67,7 @@ def config_records(spark: SparkSession, configs: list[JobConfig], created: dt.da
     rows = [
         (
             str(uuid.uuid4()),
-            _cut(c.job_name),
+            c.job_name,
             c.source_schema,
             c.source_table,
             c.source_db_type,
@@ -90,7 +88,10 @@ def config_records(spark: SparkSession, configs: list[JobConfig], created: dt.da
 
 @dataclass(frozen=True)
 class JobStore:
-    """Where job records are appended: a Parquet folder each, or a database."""
+    """Where job records are appended: a Parquet folder each, or a database.
+
+    A database column has a fixed width and gets what fits; the folder keeps all.
+    """
 
     path: str | None = None
     jdbc: Mapping[str, str] | None = None
@@ -99,6 +100,8 @@ class JobStore:
         # A handful of rows: one file per append, not one per default partition.
         rows = df.coalesce(1)
         if self.jdbc:
+            texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, StringType)]
+            rows = rows.withColumns({c: log_text(F.col(c)) for c in texts})
             rows.write.format("jdbc").options(dbtable=table, **self.jdbc).mode("append").save()
         else:
             rows.write.mode("append").parquet(f"{self.path}/{table}")

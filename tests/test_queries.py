@@ -7,9 +7,10 @@ from compare import connect, difference
 from plans import physical
 
 import __spark_entry__ as entry_point
+from stratoform.catalog import all_queries
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = {name: q.build for name, q in all_queries().items()}
+ORACLES = {name: q.sql for name, q in all_queries().items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +36,11 @@ def test_entry_has_rows(spark):
     assert df.count() == 25
 
 
+def test_the_entry_point_has_every_query():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
+
+
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"sketch_accuracy_detail"}
