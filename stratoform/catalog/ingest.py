@@ -118,7 +118,7 @@ def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full load up to a day, then the changes since a day earlier merged in twice."""
     events = views.table(spark, sf_dir, "events")
-    target = KeyedTable(scratch_path(spark, "latest-event"), ("user_id",), ("ts", "event_id"), buckets=16)
+    target = KeyedTable(scratch_path(spark, "latest-event"), ("user_id",), ("ts", "event_id"))
     target.replace(events.where(F.col("ts") <= instant(CUTOFF, events.schema["ts"].dataType)))
     changes = changed_since(events, "ts", CUTOFF - WINDOW)
     target.upsert(changes)
@@ -133,7 +133,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = views.table(spark, sf_dir, "events").schema
-    target = KeyedTable(scratch_path(spark, "stream-event"), ("user_id",), ("ts", "event_id"), buckets=16)
+    target = KeyedTable(scratch_path(spark, "stream-event"), ("user_id",), ("ts", "event_id"))
     state = scratch_path(spark, "stream-state")
     upsert_new_files(spark, sf_dir, schema, target, state, pattern="events.parquet")
     return target.read(spark).select(*schema.names)
@@ -148,8 +148,10 @@ def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
        UNION ALL SELECT 1, 'absent', 'full', 'failed', 0
        UNION ALL SELECT 2, 'customer', 'full', 'success', (SELECT count(*) FROM customer)
        UNION ALL SELECT 2, 'events', 'increment', 'success',
-              (SELECT count(*) FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '2024-01-20'))
-       UNION ALL SELECT 2, 'orders', 'increment', 'success', 0
+              (SELECT count(*) FROM events
+               WHERE ts >= date_trunc('day', (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '2024-01-20')) - INTERVAL 1 DAY)
+       UNION ALL SELECT 2, 'orders', 'increment', 'success',
+              (SELECT count(*) FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 1 DAY)
        UNION ALL SELECT 2, 'absent', 'full', 'failed', 0""",
 )
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +162,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def load(name: str, source: object, key: str, change_time: str | None) -> TableLoad:
         order = (change_time or key,)
-        return TableLoad(name, source, KeyedTable(f"{root}/{name}", (key,), order, buckets=8), change_time)
+        return TableLoad(name, source, KeyedTable(f"{root}/{name}", (key,), order), change_time)
 
     def loads(event_rows: DataFrame) -> list[TableLoad]:
         return [
@@ -178,6 +180,41 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown[0].unionByName(shown[1])
 
 
+_REST = """
+    SELECT event_id, CASE event_id % 50 WHEN 1 THEN w WHEN 2 THEN w - INTERVAL 12 HOUR WHEN 3 THEN NULL ELSE ts END AS ts,
+           * EXCLUDE (event_id, ts, w)
+    FROM events, (SELECT max(ts) AS w FROM events WHERE ts <= TIMESTAMP '2024-01-20')
+    WHERE ts > TIMESTAMP '2024-01-20'"""
+
+
+@query(
+    "load_late_rows",
+    f"""SELECT keyed, t.* FROM (SELECT unnest([true, false]) AS keyed),
+               (SELECT event_id, ts, * EXCLUDE (event_id, ts) FROM events WHERE ts <= TIMESTAMP '2024-01-20'
+                UNION ALL {_REST}) t""",
+)
+def load_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after a load, a load with late, equal-time and undated rows, and a repeated one; with and without keys."""
+    root = scratch_path(spark, "late")
+    events = views.table(spark, sf_dir, "events")
+    kind = events.schema["ts"].dataType
+    known = events.where(F.col("ts") <= instant(CUTOFF, kind))
+    mark = newest(known, "ts")
+    turn = F.col("event_id") % 50
+    moved = (
+        F.when(turn == 1, instant(mark, kind))
+        .when(turn == 2, instant(mark - dt.timedelta(hours=12), kind))
+        .when(turn == 3, F.lit(None).cast(kind))
+        .otherwise(F.col("ts"))
+    )
+    later = known.unionByName(events.where(F.col("ts") > instant(CUTOFF, kind)).withColumn("ts", moved))
+    targets = {True: KeyedTable(f"{root}/keyed", ("event_id",), ("ts",)), False: KeyedTable(f"{root}/plain", (), ("ts",))}
+    for rows in (known, later, later):
+        load_all(spark, [TableLoad(f"events-{k}", FrameSource(rows), t, "ts") for k, t in targets.items()])
+    shown = [t.read(spark).select(F.lit(k).alias("keyed"), *events.columns) for k, t in targets.items()]
+    return shown[0].unionByName(shown[1])
+
+
 YEARS = (1996, 2000)
 
 

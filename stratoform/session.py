@@ -53,10 +53,21 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of intermediate data, wherever it is; an absent one is left alone."""
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """File system and path object of a path, wherever it is."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
+
+
+def is_there(spark: SparkSession, path: str) -> bool:
+    files, hadoop = _hadoop(spark, path)
+    return files.exists(hadoop)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of intermediate data; an absent one is left alone."""
+    files, hadoop = _hadoop(spark, path)
+    files.delete(hadoop, True)
 
 
 def _remove_at_end(spark: SparkSession, root: str) -> None:
@@ -69,13 +80,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the scratch folder and read it back.
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the scratch folder, or to ``path``, and read it back.
 
     Cuts the lineage at files that outlive any executor, and lets later reads
     prune columns, which a checkpointed RDD does not.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

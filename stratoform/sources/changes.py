@@ -1,20 +1,23 @@
-"""Change extraction and keyed upsert into a Parquet table."""
+"""Change extraction, and a Parquet table that takes changes."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from stratoform.functions.dates import instant
-from stratoform.functions.hashing import bucket
 from stratoform.operators.latest import latest_per_key, upsert_latest
+from stratoform.session import is_there, remove
 
 WINDOW = dt.timedelta(days=1)
 
+_LOG = "version bigint, kind string, folder string, since timestamp_ntz"
+
 
 def newest(df: DataFrame, change_time: str) -> dt.datetime | None:
     """Largest change time, one value; the watermark of the next extraction."""
@@ -26,73 +29,111 @@ def changed_since(source: DataFrame, change_time: str, watermark: dt.datetime) -
     return source.where(F.col(change_time) > instant(watermark, source.schema[change_time].dataType))
 
 
+def changed_or_undated(source: DataFrame, change_time: str, since: dt.datetime) -> DataFrame:
+    """Rows changed at ``since`` or later, and all whose change is not dated."""
+    at = F.col(change_time)
+    return source.where((at >= instant(since, source.schema[change_time].dataType)) | at.isNull())
+
+
+def _same(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> Column:
+    return reduce(Column.__and__, (left[k].eqNullSafe(right[k]) for k in keys))
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """Parquet table that holds the newest row of each key.
 
-    Keys are spread over ``buckets`` directories by hash. An upsert reads and
-    replaces only the directories its keys fall into, and the replacement is
-    committed when all its tasks have finished. Without keys every row is kept
-    and changes are appended.
+    A full load writes a folder of its own; changes are written as they come,
+    one small folder each, and merged when the table is read, so a change costs
+    what it holds and not what the table holds. After ``max_deltas`` of them
+    the merged rows become the new base. A small log names the folders that
+    count; a line is added when its folder is complete, so readers never see a
+    half-written load, and a failed one leaves the table as it was.
+
+    Without keys the table is append-only by time: changes replace all rows
+    from a point in time on (``newest_by[0]``), undated ones included.
     """
 
     path: str
     keys: tuple[str, ...]
     newest_by: tuple[str, ...]
-    buckets: int = 64
-
-    def _placed(self, df: DataFrame) -> DataFrame:
-        if not self.keys:
-            return df.withColumn("_bucket", F.lit(0))
-        key = F.to_json(F.struct(*self.keys))
-        return df.withColumn("_bucket", bucket(key, self.buckets).cast("int"))
-
-    @staticmethod
-    def _compact(placed: DataFrame) -> DataFrame:
-        """Rows gathered per directory, so that not every task writes into each.
-
-        The rebalancing splits a large directory over tasks and joins small ones.
-        """
-        return placed.hint("rebalance", "_bucket")
+    max_deltas: int = 8
+
+    def _log(self, spark: SparkSession) -> list:
+        """The lines in order: the last base and the changes after it; none if there is no table."""
+        if not is_there(spark, f"{self.path}/_log"):
+            return []
+        lines = spark.read.schema(_LOG).parquet(f"{self.path}/_log").collect()
+        lines.sort(key=lambda line: line.version)
+        last = max((i for i, line in enumerate(lines) if line.kind == "base"), default=0)
+        return lines[last:]
+
+    def _add(self, df: DataFrame, kind: str, since: dt.datetime | None = None) -> None:
+        spark = df.sparkSession
+        lines = self._log(spark)
+        folder = f"{kind}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{folder}")
+        version = lines[-1].version + 1 if lines else 0
+        line = spark.createDataFrame([(version, kind, folder, since)], _LOG)
+        line.coalesce(1).write.mode("append").parquet(f"{self.path}/_log")
+        if kind == "base":
+            self._forget(spark, [line.folder for line in lines])
+
+    def _forget(self, spark: SparkSession, replaced: list[str]) -> None:
+        """Removes folders older than the state just replaced, which may still be read."""
+        lines = spark.read.schema(_LOG).parquet(f"{self.path}/_log").collect()
+        lines.sort(key=lambda line: line.version)
+        for line in lines[:-1]:
+            if line.folder not in replaced:
+                remove(spark, f"{self.path}/{line.folder}")
 
     def exists(self, spark: SparkSession) -> bool:
         """Whether a load has put at least one row there."""
-        try:
-            return not spark.read.parquet(self.path).isEmpty()
-        except AnalysisException:
-            return False
+        return bool(self._log(spark)) and not self.read(spark).isEmpty()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop("_bucket")
+        lines = self._log(spark)
+        if not lines:
+            raise ValueError(f"no table at {self.path}")
+        base, *deltas = (spark.read.parquet(f"{self.path}/{line.folder}") for line in lines)
+        if not deltas:
+            return base
+        if not self.keys:
+            for line, delta in zip(lines[1:], deltas, strict=True):
+                at = F.col(self.newest_by[0])
+                kind = base.schema[self.newest_by[0]].dataType
+                base = base.where(at < instant(line.since, kind)).unionByName(delta)
+            return base
+        changes = latest_per_key(reduce(DataFrame.unionByName, deltas), self.keys, self.newest_by)
+        touched = changes.select(*self.keys)
+        met = base.join(touched, _same(base, touched, self.keys), "left_semi")
+        rest = base.join(touched, _same(base, touched, self.keys), "left_anti")
+        return rest.unionByName(upsert_latest(met, changes, self.keys, self.newest_by))
 
     def publish(self, spark: SparkSession, name: str) -> None:
-        """Catalog view of that name over the rows, without the directory column."""
-        columns = ", ".join(f"`{c}`" for c in self.read(spark).columns)
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{self.path}`")
+        """Catalog view of that name over the rows, after merging what is not merged."""
+        if len(self._log(spark)) > 1:
+            self.compact(spark)
+        folder = self._log(spark)[0].folder
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{self.path}/{folder}`")
+
+    def compact(self, spark: SparkSession) -> None:
+        self._add(self.read(spark), "base")
 
     def replace(self, df: DataFrame) -> None:
         """Full load: these rows and no others."""
-        rows = latest_per_key(df, self.keys, self.newest_by) if self.keys else df
-        placed = self._compact(self._placed(rows))
-        placed.write.mode("overwrite").partitionBy("_bucket").parquet(self.path)
-
-    def upsert(self, changes: DataFrame) -> None:
-        """Merge ``changes``; running it again changes nothing."""
-        spark = changes.sparkSession
-        placed = self._placed(changes)
-        if not self.keys:
-            placed.write.mode("append").partitionBy("_bucket").parquet(self.path)
-            return
-        # At most ``buckets`` numbers, needed as literals to prune directories.
-        touched = [r["_bucket"] for r in placed.select("_bucket").distinct().collect()]
-        if not touched:
-            return
-        current = spark.read.parquet(self.path).where(F.col("_bucket").isin(touched))
-        merged = upsert_latest(current.select(*placed.columns), placed, self.keys, self.newest_by)
-        (
-            self._compact(merged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_bucket")
-            .parquet(self.path)
-        )
+        self._add(latest_per_key(df, self.keys, self.newest_by) if self.keys else df, "base")
+
+    def upsert(self, changes: DataFrame, since: dt.datetime | None = None) -> None:
+        """Merge ``changes``; running it again changes nothing.
+
+        Without keys ``changes`` are all rows from ``since`` on and all undated ones.
+        """
+        if self.keys:
+            self._add(latest_per_key(changes, self.keys, self.newest_by), "delta")
+        elif since is None:
+            raise ValueError("a table without keys needs the time from which its rows are replaced")
+        else:
+            self._add(changes, "delta", since)
+        if len(self._log(changes.sparkSession)) > self.max_deltas:
+            self.compact(changes.sparkSession)

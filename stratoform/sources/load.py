@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratoform.session import stage
-from stratoform.sources.changes import KeyedTable, changed_since, newest
+from stratoform.sources.changes import WINDOW, KeyedTable, changed_or_undated, newest
 from stratoform.sources.files import Source
 from stratoform.sources.jobs import JobConfig, JobRun, JobStore, config_records, log_records
 
@@ -38,17 +38,29 @@ class TableLoad:
 
 
 def load_mode(spark: SparkSession, load: TableLoad) -> str:
-    """An empty target, or one whose changes cannot be dated, is loaded in full."""
+    """An empty target, or one without any change time to go by, is loaded in full."""
     if load.change_time is None or not load.target.exists(spark):
         return "full"
-    return "increment"
+    return "full" if newest(load.target.read(spark), load.change_time) is None else "increment"
+
+
+def _since(spark: SparkSession, load: TableLoad) -> dt.datetime:
+    """A look-back before the newest loaded change, at the start of that day.
+
+    Late rows and those at the watermark are read again; merging them twice
+    changes nothing.
+    """
+    last = newest(load.target.read(spark), load.change_time)
+    day = last.date() if isinstance(last, dt.datetime) else last
+    return dt.datetime.combine(day - WINDOW, dt.time())
 
 
 def _load_one(spark: SparkSession, load: TableLoad, mode: str) -> int:
     """Read once, write once; the row count is taken while writing."""
-    rows = load.source.read(spark)
+    rows, since = load.source.read(spark), None
     if mode == "increment":
-        rows = changed_since(rows, load.change_time, newest(load.target.read(spark), load.change_time))
+        since = _since(spark, load)
+        rows = changed_or_undated(rows, load.change_time, since)
     seen = Observation()
     counted = rows.observe(seen, F.count(F.lit(1)).alias("records"))
     if mode == "full":
@@ -56,7 +68,7 @@ def _load_one(spark: SparkSession, load: TableLoad, mode: str) -> int:
         return seen.get["records"]
     # The merge reads the changes twice; staged, the source still is read once.
     changes = stage(counted, f"changes-{load.name}")
-    load.target.upsert(changes)
+    load.target.upsert(changes, since)
     return seen.get["records"]
 
 

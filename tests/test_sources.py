@@ -156,7 +156,7 @@ def test_watermark_does_not_depend_on_the_time_zone(spark, kind):
 
 
 def keyed(path, keys=("key",)):
-    return KeyedTable(f"file://{path}", keys, ("at",), buckets=4)
+    return KeyedTable(f"file://{path}", keys, ("at",))
 
 
 def test_load_runs(spark, tmp_path):
@@ -183,13 +183,11 @@ def test_load_runs(spark, tmp_path):
     assert totals["seconds"] > 0
 
     source = changes(spark, (1, 1, "a"), (2, 1, "b"), (2, 2, "b2"), (3, 2, "c"))
-    second = run(source)
-    assert rows(second, "table_name", "load_mode", "records")[1:] == [("plain", "increment", 2), ("t", "increment", 2)]
-    assert rows(target.read(spark), "key", "v") == [(1, "a"), (2, "b2"), (3, "c")]
-    assert plain.read(spark).count() == 4
-    third = run(source)
-    assert rows(third, "table_name", "records")[1:] == [("plain", 0), ("t", 0)]
-    assert target.read(spark).count() == 3
+    for _ in range(2):
+        again = run(source)
+        assert rows(again, "table_name", "load_mode", "records")[1:] == [("plain", "increment", 4), ("t", "increment", 4)]
+        assert rows(target.read(spark), "key", "v") == [(1, "a"), (2, "b2"), (3, "c")]
+        assert rows(plain.read(spark), "key", "v") == [(1, "a"), (2, "b"), (2, "b2"), (3, "c")]
 
     log = spark.read.parquet(f"file://{tmp_path}/jobs/job_log")
     assert log.where("status = 'failed' and error_message is not null").count() == 3
@@ -198,16 +196,64 @@ def test_load_runs(spark, tmp_path):
     assert rows(config.groupBy("load_type").count()) == [(0, 5), (1, 4)]
 
 
-def test_upsert_leaves_other_buckets_alone(spark, tmp_path):
+def test_late_equal_and_undated_rows_are_loaded(spark, tmp_path):
+    first = [(1, T(2024, 1, 5, 12), "a"), (2, None, "u")]
+    late = [(3, T(2024, 1, 5, 12), "equal"), (4, T(2024, 1, 4), "late"), (5, None, "undated"), (6, T(2024, 1, 6), "new")]
+    for name, keys in (("keyed", ("key",)), ("plain", ())):
+        target = keyed(tmp_path / name, keys=keys)
+        for data in (first, first + late, first + late):
+            load_all(spark, [TableLoad(name, FrameSource(spark.createDataFrame(data, CHANGES)), target, "at")])
+        assert rows(target.read(spark), "key") == [(k,) for k in range(1, 7)]
+
+
+def test_without_any_change_time_the_load_is_full(spark, tmp_path):
+    target = keyed(tmp_path / "t")
+    undated = spark.createDataFrame([(1, None, "a")], CHANGES)
+    load = TableLoad("t", FrameSource(undated), target, "at")
+    for _ in range(2):
+        assert rows(load_all(spark, [load]), "load_mode", "records") == [("full", 1)]
+    more = TableLoad("t", FrameSource(spark.createDataFrame([(1, None, "a"), (2, T(2024, 1, 1), "b")], CHANGES)), target, "at")
+    load_all(spark, [more])
+    assert rows(target.read(spark), "key") == [(1,), (2,)]
+
+
+def files(path):
+    return {p: p.stat().st_size for p in path.rglob("*.parquet") if "_log" not in str(p)}
+
+
+def test_scattered_changes_write_only_themselves(spark, tmp_path):
     target = keyed(tmp_path / "t")
-    target.replace(changes(spark, *[(k, 1, "old") for k in range(40)]))
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
-    target.upsert(changes(spark, (5, 2, "new")))
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
-    kept = [p for p in before if after.get(p) == before[p]]
-    assert {p.parent for p in before} - {p.parent for p in kept} == {p.parent for p in set(after) - set(before)}
-    assert len({p.parent for p in kept}) == 3
-    assert rows(target.read(spark).groupBy("v").count()) == [("new", 1), ("old", 39)]
+    rows_ = spark.range(100_000).select(F.col("id").cast("int").alias("key"), F.lit(T(2024, 1, 1)).alias("at"), F.lit("old").alias("v"))
+    target.replace(rows_)
+    before = files(tmp_path / "t")
+    target.upsert(rows_.where("key % 250 = 0").withColumns({"at": F.lit(T(2024, 1, 2)), "v": F.lit("new")}))
+    after = files(tmp_path / "t")
+    assert before.items() <= after.items()
+    written = spark.read.parquet(*{f"file://{p.parent}" for p in set(after) - set(before)})
+    assert written.count() == 400
+    assert rows(target.read(spark).groupBy("v").count()) == [("new", 400), ("old", 99_600)]
+
+
+def test_a_failed_load_leaves_the_table_and_can_be_repeated(spark, tmp_path):
+    target = keyed(tmp_path / "t")
+    target.replace(changes(spark, (1, 1, "a"), (2, 1, "b")))
+    bad = changes(spark, (2, 2, "x")).withColumn("v", F.raise_error(F.lit("stop")).cast("string"))
+    for write in (target.replace, target.upsert):
+        with pytest.raises(Exception, match="stop"):
+            write(bad)
+        assert rows(target.read(spark), "key", "v") == [(1, "a"), (2, "b")]
+    for _ in range(2):
+        target.upsert(changes(spark, (2, 2, "b2")))
+    assert rows(target.read(spark), "key", "v") == [(1, "a"), (2, "b2")]
+
+
+def test_many_changes_become_a_new_base(spark, tmp_path):
+    target = KeyedTable(f"file://{tmp_path}/t", ("key",), ("at",), max_deltas=2)
+    target.replace(changes(spark, (0, 1, "v0")))
+    for k in range(1, 6):
+        target.upsert(changes(spark, (k, 1, f"v{k}"), (0, k + 1, f"w{k}")))
+    assert rows(target.read(spark), "key", "v") == [(0, "w5"), *((k, f"v{k}") for k in range(1, 6))]
+    assert len({p.parent for p in files(tmp_path / "t")}) <= 6
 
 
 def test_table_source(spark):
