@@ -13,35 +13,57 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratoform.operators.numbering import with_row_numbers
+
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     tests = [left[a].eqNullSafe(right[b]) for a, b in pairs]
     return reduce(lambda x, y: x & y, tests)
 
 
+def spread_nulls(df: DataFrame, key: str) -> Column:
+    """A second join key that deals out rows without ``key``, which match nothing; 0 for all others.
+
+    Without it they would all hash to one task of an outer or anti join.
+    """
+    return F.when(F.col(key).isNull(), F.xxhash64(*df.columns)).otherwise(0)
+
+
 def with_next_start(
     df: DataFrame, key: str, start: str, tiebreak: Sequence[str], output: str = "next_start"
 ) -> DataFrame:
     """Start of the following version of the same key, null for the last one.
 
     Equal to ``lead(start) over (partition by key order by start, tiebreak)``.
+    The days of a key are walked in a window, which the calendar bounds. Rows
+    that share their key and day are put in order by one range sort, which
+    splits even a single day over tasks, and each meets the one behind it by
+    its number.
     """
     day = F.to_date(start)
-    by_day = df.groupBy(F.col(key).alias("_key"), day.alias("_on")).agg(F.min(start).alias("_first"))
+    by_day = df.groupBy(F.col(key).alias("_key"), day.alias("_on")).agg(
+        F.min(start).alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
     calendar = Window.partitionBy("_key").orderBy("_on")
     by_day = by_day.withColumn("_next_day", F.lead("_first").over(calendar)).drop("_first")
+    rows = df.withColumn("_day", day)
+    joined = rows.join(by_day, _same(rows, by_day, [(key, "_key"), ("_day", "_on")])).drop("_key", "_on")
 
-    within_day = Window.partitionBy(key, "_day").orderBy(start, *tiebreak)
-    # A row without a start can be followed by another one, so a null does not mean "last".
-    following = F.lead(F.struct(start)).over(within_day)
-    rows = df.withColumn("_day", day).withColumn("_same_day", following)
-    joined = rows.join(by_day, _same(rows, by_day, [(key, "_key"), ("_day", "_on")]), "left")
-    return joined.select(
-        *[rows[c] for c in df.columns],
-        F.when(F.col("_same_day").isNull(), F.col("_next_day"))
-        .otherwise(F.col(f"_same_day.{start}"))
-        .alias(output),
+    shared = joined.where("_rows > 1")
+    numbered = with_row_numbers(shared, [key, start, *tiebreak], "_number")
+    behind = numbered.select(
+        (F.col("_number") - 1).alias("_before"),
+        F.col(key).alias("_key"),
+        F.col("_day").alias("_on"),
+        F.struct(F.col(start).alias("start")).alias("_following"),
     )
+    # A row without a start can be followed by another one, so a null does not mean "last".
+    met = numbered.join(behind, numbered["_number"] == behind["_before"], "left")
+    same_day = met["_following"].isNotNull() & met[key].eqNullSafe(met["_key"]) & met["_day"].eqNullSafe(met["_on"])
+    ordered = met.withColumn(output, F.when(same_day, F.col("_following.start")).otherwise(F.col("_next_day")))
+    single = joined.where("_rows = 1").withColumn(output, F.col("_next_day"))
+    columns = [*df.columns, output]
+    return single.select(columns).unionByName(ordered.select(columns))
 
 
 def with_version_in_force(
@@ -52,42 +74,38 @@ def with_version_in_force(
     start: str,
     tiebreak: Sequence[str],
     attributes: Sequence[str],
+    end: str | None = None,
 ) -> DataFrame:
     """Each fact with ``attributes`` of the version valid on its day.
 
     A version is valid from the day it starts to the day before the next one
-    starts; of several that start on one day the last counts. Facts before the
+    starts, or to its stored last day if ``end`` names it (null: no end); of
+    several that start on one day the last counts. Facts before the
     first version, or without a key or day, get nulls. ``key`` is the column
     name on both sides.
+
+    Versions are reduced to one per key and day with the day of the next, so
+    a fact matches one at most; the facts are read once and joined by key.
     """
     newest = F.struct(F.col(start), *[F.col(c) for c in tiebreak])
     started = (
         versions.where(F.col(start).isNotNull() & F.col(key).isNotNull())
-        .groupBy(key, F.to_date(start).alias("_day"))
-        .agg(F.max_by(F.struct(*attributes), newest).alias("_version"))
-    )
-    no_version = F.lit(None).cast(started.schema["_version"].dataType)
-    asked = (
-        facts.where(F.col(on).isNotNull() & F.col(key).isNotNull())
-        .select(key, F.to_date(on).alias("_day"))
-        .distinct()
-        .withColumn("_version", no_version)
-        .withColumn("_asked", F.lit(True))
-    )
-    days = asked.unionByName(started.withColumn("_asked", F.lit(False)))
-    # On one day the start sorts before the question, so it is already in force.
-    so_far = (
-        Window.partitionBy(key)
-        .orderBy("_day", "_asked")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .groupBy(F.col(key).alias("_key"), F.to_date(start).alias("_from"))
+        .agg(
+            F.max_by(F.struct(*attributes), newest).alias("_version"),
+            F.max_by(F.struct(F.col(end or start).alias("last")), newest).alias("_end"),
+        )
     )
-    lookup = (
-        days.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
-        .where("_asked")
-        .select(F.col(key).alias("_key"), F.col("_day").alias("_on"), "_version")
+    calendar = Window.partitionBy("_key").orderBy("_from")
+    until = F.date_add(F.to_date("_end.last"), 1) if end else F.lead("_from").over(calendar)
+    valid = started.withColumn("_until", until).withColumn("_spread_key", F.lit(0).cast("bigint"))
+    rows = facts.withColumn("_spread", spread_nulls(facts, key)).withColumn("_day", F.to_date(on))
+    hit = (
+        (rows[key] == valid["_key"])
+        & (rows["_spread"] == valid["_spread_key"])
+        & (rows["_day"] >= valid["_from"])
+        & (valid["_until"].isNull() | (rows["_day"] < valid["_until"]))
     )
-    rows = facts.withColumn("_day", F.to_date(on))
-    hit = (rows[key] == lookup["_key"]) & (rows["_day"] == lookup["_on"])
-    return rows.join(lookup, hit, "left").select(
+    return rows.join(valid, hit, "left").select(
         *[rows[c] for c in facts.columns], *[F.col(f"_version.{a}").alias(a) for a in attributes]
     )

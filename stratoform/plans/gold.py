@@ -97,7 +97,7 @@ def fact_sales_as_of(sales: DataFrame, products: DataFrame, customers: DataFrame
     """Sales with the product version valid on the order date; one row per sale."""
     versions = products.withColumnRenamed("product_number", "sls_prd_key")
     placed = with_version_in_force(
-        sales, versions, "sls_prd_key", "sls_order_dt", "start_date", ["product_id"], ["product_key"]
+        sales, versions, "sls_prd_key", "sls_order_dt", "start_date", ["product_id"], ["product_key"], "end_date"
     )
     buyers = _customer_keys(customers)
     return _fact_columns(placed.join(buyers, placed["sls_cust_id"] == buyers["customer_id"], "left"))

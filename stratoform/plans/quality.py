@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratoform.functions.dates import is_bad_int_date
+from stratoform.operators.versions import spread_nulls
 
 
 def untrimmed(df: DataFrame, column: str) -> DataFrame:
@@ -65,7 +66,10 @@ def missing_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 def orphans(fact: DataFrame, key: str, dimension: DataFrame, dimension_key: str) -> DataFrame:
     """Facts whose key is in no dimension row; a null key is in none."""
-    return fact.join(dimension, fact[key] == dimension[dimension_key], "left_anti")
+    known = dimension.select(F.col(dimension_key).alias("_known"), F.lit(0).cast("bigint").alias("_known_spread"))
+    spread = fact.withColumn("_spread", spread_nulls(fact, key))
+    met = (spread[key] == known["_known"]) & (spread["_spread"] == known["_known_spread"])
+    return spread.join(known, met, "left_anti").drop("_spread")
 
 
 def connectivity(
@@ -74,7 +78,8 @@ def connectivity(
     """Fact rows with the attributes of all their dimensions, by shared surrogate key."""
     joined = fact
     for key, dimension in dimensions.items():
-        joined = joined.join(dimension, key, "left")
+        joined = joined.withColumn("_spread", spread_nulls(fact, key))
+        joined = joined.join(dimension.withColumn("_spread", F.lit(0).cast("bigint")), [key, "_spread"], "left").drop("_spread")
     return joined.select(*attributes)
 
 

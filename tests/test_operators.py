@@ -19,7 +19,8 @@ from stratoform.operators.countmin import CountMin
 from stratoform.operators.latest import latest_per_key, upsert_latest
 from stratoform.operators.layout import RangeCopy, write_sorted
 from stratoform.operators.numbering import with_row_numbers
-from stratoform.operators.versions import with_next_start, with_version_in_force
+from stratoform.operators.versions import spread_nulls, with_next_start, with_version_in_force
+from stratoform.plans.quality import connectivity, orphans
 from stratoform.operators.zones import count_points_in_zones
 
 DAY = dt.date(2020, 1, 1)
@@ -74,6 +75,30 @@ def test_next_start_equals_lead(spark, kind):
     assert rows(with_next_start(df, "key", "start", ["id"])) == rows(df.withColumn("next_start", lead))
 
 
+@pytest.mark.parametrize("crowd", [(0, DAY), (None, DAY), (0, None)])
+def test_next_start_of_a_crowded_day(spark, crowd):
+    """A third of the rows share key and day; no window spans them."""
+    rng = random.Random(2)
+    data = [(*(crowd if i % 3 == 0 else (rng.randrange(9), DAY + dt.timedelta(days=rng.randrange(20)))), i) for i in range(300)]
+    df = spark.createDataFrame(data, "key int, start date, id int").repartition(7)
+    lead = F.lead("start").over(Window.partitionBy("key").orderBy("start", "id"))
+    got = with_next_start(df, "key", "start", ["id"])
+    assert rows(got) == rows(df.withColumn("next_start", lead))
+    # Over the days of a key, and over the partitions of the sort.
+    windows = [line for line in physical(got).splitlines() if "Window [" in line]
+    assert windows and all("lead(_first" in line or "[_part" in line for line in windows)
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    facts = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("key"))
+    dimension = spark.range(5).select(F.col("id").alias("key"), F.col("id").alias("name"))
+    assert facts.where("key is null").select(spread_nulls(facts, "key")).distinct().count() > 300
+    expected = sum(i % 3 == 0 or i % 7 > 4 for i in range(1000))
+    assert orphans(facts, "key", dimension, "key").count() == expected
+    joined = connectivity(facts, {"key": dimension}, ["id", "key", "name"])
+    assert joined.count() == 1000 and joined.where("name is null").count() == expected
+
+
 def test_version_in_force_equals_brute_force(spark):
     vs = versions(spark, 200)
     rng = random.Random(5)
