@@ -249,7 +249,7 @@ FRAGMENTS = {
 def bloom_parameters(items: str) -> str:
     """Bits and hash functions for the items of a table, one row ``m, k``."""
     return f"""
-        SELECT m, CAST(floor(m / n * ln(2)) AS BIGINT) AS k
+        SELECT (m + 511) // 512 * 512 AS m, CAST(floor(m / n * ln(2)) AS BIGINT) AS k
         FROM (SELECT n, CAST(floor(-(n * ln(0.01)) / (ln(2) * ln(2))) AS BIGINT) AS m
               FROM (SELECT greatest(count(*), 1) AS n FROM {items}))"""
 
@@ -258,7 +258,7 @@ def bloom_positions(items: str, item: str, parameters: str) -> str:
     """Rows ``item, pos`` for each item and hash function."""
     text = f"CAST({item} AS VARCHAR)"
     return f"""
-        SELECT item, (h1 + i * h2) % m AS pos
+        SELECT item, h1 % (m // 512) * 512 + (h2 + i * (h2 // 512 * 2 + 1)) % 512 AS pos
         FROM (SELECT {item} AS item, {hash1(text)} AS h1, {hash2(text)} AS h2, m, unnest(range(k)) AS i
               FROM {items}, {parameters})"""
 

@@ -9,33 +9,34 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratoform.functions.hashing import Hash, positions, with_positions
+from stratoform.functions.hashing import Hash, hash_pair
 from stratoform.session import stage
 
-# A filter up to this size is shipped to every task as one value; the same
-# bound Spark sets for its own runtime filters.
-MAX_SHIPPED_BYTES = 8 * 1024 * 1024
+#: Bits of a block; an item sets bits of one block only.
+BLOCK_BITS = 512
+_WORDS = BLOCK_BITS // 64
 
 
 def sizing(expected_items: int, false_positive_rate: float = 0.01) -> tuple[int, int]:
-    """Bits and hash functions; an empty input is sized as one item."""
+    """Bits, in whole blocks, and hash functions; an empty input is sized as one item."""
     items = max(expected_items, 1)
     bits = int(-(items * math.log(false_positive_rate)) / math.log(2) ** 2)
-    return bits, max(int(bits / items * math.log(2)), 1)
+    return -(-bits // BLOCK_BITS) * BLOCK_BITS, max(int(bits / items * math.log(2)), 1)
 
 
 @dataclass(frozen=True)
 class BloomFilter:
     """Rows ``(word, bits)`` for the words with a bit set, and the parameters.
 
-    ``packed`` is the same as one array, for a stored filter that ships.
+    The first hash picks an item's block, the second its bits in there, so a
+    probe of any number of items is one equi-join by block; Spark ships the
+    blocks to all tasks or shuffles both sides, as it does for any join.
     """
 
     words: DataFrame
     size: int
     hashes: int
     kind: Hash
-    packed: DataFrame | None = None
 
     @classmethod
     def build(
@@ -52,8 +53,8 @@ class BloomFilter:
         each task ORs its bits into words and only words are shuffled.
         """
         size, hashes = sizing(expected_items, false_positive_rate)
-        items = df.select(column).where(F.col(column).isNotNull())
-        hashed, at = with_positions(items, column, hashes, size, kind)
+        hashed = _hashed(df.select(column).where(F.col(column).isNotNull()), column, size, kind)
+        at = [F.col("_block") * BLOCK_BITS + bit for bit in _bits(hashes)]
         words = (
             hashed.select(F.explode(F.array(*at)).alias("pos"))
             .groupBy(F.shiftright("pos", 6).alias("word"))
@@ -63,64 +64,34 @@ class BloomFilter:
 
     @property
     def size_in_bytes(self) -> int:
-        return (self.size // 64 + 1) * 8
+        return self.size // 8
 
     def merge(self, other: BloomFilter) -> BloomFilter:
         """Filter of both item sets."""
         if (self.size, self.hashes, self.kind) != (other.size, other.hashes, other.kind):
             raise ValueError("filters differ in size, hash count or hash function")
         words = self.words.unionByName(other.words).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-        return replace(self, words=words, packed=None)
-
-    def ships(self) -> bool:
-        return self.size_in_bytes <= MAX_SHIPPED_BYTES
+        return replace(self, words=words)
 
     def stored(self) -> BloomFilter:
         """The same filter with its words written, for use in several queries."""
-        kept = replace(self, words=stage(self.words, "bloom-words"))
-        return replace(kept, packed=stage(kept._dense(), "bloom-bits")) if kept.ships() else kept
-
-    def might_contain(self, column: Column) -> Column:
-        """Probe as an expression on the scan; only for a filter that ``ships``."""
-        if not self.ships():
-            raise ValueError(f"a filter of {self.size_in_bytes} bytes is probed with mark()")
-        return self._all_set(positions(column, self.hashes, self.size, self.kind))
+        return replace(self, words=stage(self.words, "bloom-words"))
 
-    def _all_set(self, at: list[Column]) -> Column:
-        bits = (self.packed or self._dense()).scalar()
-        tests = [F.get(bits, F.shiftright(p, 6).cast("int")).bitwiseAND(_bit(p)) != 0 for p in at]
-        return reduce(lambda a, b: a & b, tests)
+    def measured_bytes(self) -> DataFrame:
+        """One row ``sketch_bytes``: of the words that are there, as the table holds them."""
+        return self.words.agg((F.count(F.lit(1)) * 8).alias("sketch_bytes"))
 
     def mark(self, df: DataFrame, column: str, output: str = "might_contain") -> DataFrame:
-        """``df`` with the answer per row; null values are never contained.
-
-        A filter too big to ship is joined by word instead, once per distinct
-        value, and the answer joined back.
-        """
-        if self.ships():
-            hashed, at = with_positions(df, column, self.hashes, self.size, self.kind)
-            return hashed.select(*df.columns, F.coalesce(self._all_set(at), F.lit(False)).alias(output))
-        probes = df.select(F.col(column).alias("_item")).where(F.col("_item").isNotNull()).distinct()
-        hashed, at = with_positions(probes, "_item", self.hashes, self.size, self.kind)
-        at = hashed.select("_item", F.explode(F.array(*at)).alias("pos"))
-        at = at.withColumn("word", F.shiftright("pos", 6))
-        answers = (
-            at.join(self.words, "word", "left")
-            .groupBy("_item")
-            .agg(F.min(F.coalesce(F.col("bits"), F.lit(0)).bitwiseAND(_bit(F.col("pos"))) != 0).alias(output))
+        """``df`` with the answer per row; null values are never contained."""
+        own = [F.max(F.when(F.col("word") % _WORDS == i, F.col("bits"))) for i in range(_WORDS)]
+        blocks = self.words.groupBy(F.call_function("div", F.col("word"), F.lit(_WORDS)).alias("_at")).agg(
+            F.array(*[F.coalesce(w, F.lit(0).cast("bigint")) for w in own]).alias("_words")
         )
-        joined = df.join(answers, df[column] == answers["_item"], "left")
-        return joined.select(*[df[c] for c in df.columns], F.coalesce(output, F.lit(False)).alias(output))
-
-    def _dense(self) -> DataFrame:
-        """All words in order as one array; at most ``MAX_SHIPPED_BYTES``."""
-        spark = self.words.sparkSession
-        every = spark.range(self.size // 64 + 1).withColumnRenamed("id", "word")
-        cells = every.join(self.words, "word", "left").select(
-            "word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")
-        )
-        ordered = F.array_sort(F.collect_list(F.struct("word", "bits")))
-        return cells.agg(F.transform(ordered, lambda c: c["bits"]).alias("bits"))
+        hashed = _hashed(df, column, self.size, self.kind)
+        met = hashed.join(blocks, hashed["_block"] == blocks["_at"], "left")
+        tests = [F.get("_words", F.shiftright(p, 6).cast("int")).bitwiseAND(_bit(p)) != 0 for p in _bits(self.hashes)]
+        found = F.coalesce(reduce(lambda a, b: a & b, tests), F.lit(False))
+        return met.select(*[hashed[c] for c in df.columns], found.alias(output))
 
     def save(self, path: str) -> None:
         self.words.write.mode("overwrite").parquet(f"{path}/words")
@@ -136,6 +107,18 @@ class BloomFilter:
         return cls(spark.read.parquet(f"{path}/words"), meta["size"], meta["hashes"], Hash(meta["kind"]))
 
 
+def _hashed(df: DataFrame, column: str, size: int, kind: Hash) -> DataFrame:
+    """``df`` with an item's block and its second hash, both null for null."""
+    h1, h2 = hash_pair(F.col(column), kind)
+    return df.withColumns({"_block": F.pmod(h1, F.lit(size // BLOCK_BITS).cast("bigint")), "_h2": h2})
+
+
+def _bits(hashes: int) -> list[Column]:
+    """An item's bits within its block: steps of an odd width, so that they differ."""
+    step = F.shiftright("_h2", 9) * 2 + 1
+    return [F.pmod(F.col("_h2") + step * i, F.lit(BLOCK_BITS).cast("bigint")) for i in range(hashes)]
+
+
 def _bit(position: Column) -> Column:
     shift = position.bitwiseAND(F.lit(63)).cast("int")
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), shift)

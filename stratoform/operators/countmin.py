@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratoform.functions.hashing import Hash, with_positions
-from stratoform.operators.bloom import MAX_SHIPPED_BYTES
 from stratoform.session import stage
 
 
@@ -16,14 +15,14 @@ from stratoform.session import stage
 class CountMin:
     """Rows ``(line, bucket, total)`` for the non-zero counters.
 
-    ``packed`` is the same as one array, for a stored sketch that ships.
+    ``written`` says that they are in a table and need not be computed again.
     """
 
     cells: DataFrame
     width: int
     depth: int
     kind: Hash
-    packed: DataFrame | None = None
+    written: bool = False
 
     @classmethod
     def build(
@@ -58,52 +57,30 @@ class CountMin:
         if (self.width, self.depth, self.kind) != (other.width, other.depth, other.kind):
             raise ValueError("sketches differ in width, depth or hash function")
         cells = self.cells.unionByName(other.cells).groupBy("line", "bucket").agg(F.sum("total").alias("total"))
-        return replace(self, cells=cells, packed=None)
-
-    def ships(self) -> bool:
-        return self.size_in_bytes <= MAX_SHIPPED_BYTES
+        return replace(self, cells=cells, written=False)
 
     def stored(self) -> CountMin:
         """The same sketch with its counters written, for use in several queries."""
-        kept = replace(self, cells=stage(self.cells, "countmin-cells"))
-        return replace(kept, packed=stage(kept._dense(), "countmin-totals")) if kept.ships() else kept
+        return self if self.written else replace(self, cells=stage(self.cells, "countmin-cells"), written=True)
+
+    def measured_bytes(self) -> DataFrame:
+        """One row ``sketch_bytes``: of the counters that are there, as the table holds them."""
+        return self.cells.agg((F.count(F.lit(1)) * 8).alias("sketch_bytes"))
 
     def estimate(self, df: DataFrame, column: str, output: str = "estimate") -> DataFrame:
         """``df`` with the estimated weight of each value; never below the true one.
 
-        A null value has weight zero, as nulls are not counted.
+        Each line of counters is joined by the value's counter in it; Spark
+        ships a line to all tasks or shuffles both sides, as it does for any
+        join. A null value has weight zero, as nulls are not counted.
         """
-        if self.ships():
-            totals = (self.packed or self._dense()).scalar()
-            hashed, at = with_positions(df, column, self.depth, self.width, self.kind)
-            read = [F.get(totals, (p + line * self.width).cast("int")) for line, p in enumerate(at)]
-            least = F.coalesce(F.array_min(F.array(*read)), F.lit(0).cast("bigint"))
-            return hashed.select(*df.columns, least.alias(output))
-        items = df.select(F.col(column).alias("_item")).where(F.col("_item").isNotNull()).distinct()
-        hashed, at = with_positions(items, "_item", self.depth, self.width, self.kind)
-        answers = (
-            hashed.select("_item", F.posexplode(F.array(*at)).alias("line", "bucket"))
-            .join(self.cells, ["line", "bucket"], "left")
-            .groupBy("_item")
-            .agg(F.min(F.coalesce("total", F.lit(0))).alias(output))
-        )
-        joined = df.join(answers, df[column] == answers["_item"], "left")
-        return joined.select(
-            *[df[c] for c in df.columns], F.coalesce(output, F.lit(0).cast("bigint")).alias(output)
-        )
-
-    def _dense(self) -> DataFrame:
-        """All counters in order as one array; at most ``MAX_SHIPPED_BYTES``."""
-        spark = self.cells.sparkSession
-        placed = self.cells.select(
-            (F.col("line") * F.lit(self.width) + F.col("bucket")).alias("cell"), "total"
-        )
-        every = spark.range(self.width * self.depth).withColumnRenamed("id", "cell")
-        dense = every.join(placed, "cell", "left").select(
-            "cell", F.coalesce("total", F.lit(0).cast("bigint")).alias("total")
-        )
-        ordered = F.array_sort(F.collect_list(F.struct("cell", "total")))
-        return dense.agg(F.transform(ordered, lambda c: c["total"]).alias("totals"))
+        cells = self.stored().cells
+        met, at = with_positions(df, column, self.depth, self.width, self.kind)
+        for line, position in enumerate(at):
+            own = cells.where(F.col("line") == line).select(F.col("bucket").alias(f"_at{line}"), F.col("total").alias(f"_total{line}"))
+            met = met.join(own, position == F.col(f"_at{line}"), "left")
+        totals = [F.coalesce(f"_total{line}", F.lit(0).cast("bigint")) for line in range(self.depth)]
+        return met.select(*df.columns, F.array_min(F.array(*totals)).alias(output))
 
     def save(self, path: str) -> None:
         self.cells.write.mode("overwrite").parquet(f"{path}/cells")

@@ -31,12 +31,8 @@ def domain_filter(df: DataFrame, column: str, kind: Hash = Hash.FAST) -> tuple[B
 def prefiltered(
     df: DataFrame, key: str, members: DataFrame, member_key: str, filter_: BloomFilter
 ) -> DataFrame:
-    """Rows whose key is among the members: Bloom filter on the scan, then the exact semi join.
-
-    A filter too big to ship would cost the shuffle it is meant to save, so
-    then only the join runs. The result is the same.
-    """
-    rows = df.where(filter_.might_contain(F.col(key))) if filter_.ships() else df
+    """Rows whose key is among the members: the Bloom filter's blocks first, then the exact semi join."""
+    rows = filter_.mark(df, key, "_maybe").where("_maybe").drop("_maybe")
     wanted = members.select(F.col(member_key).alias("_member"))
     return rows.join(wanted, rows[key] == wanted["_member"], "left_semi")
 
@@ -186,32 +182,25 @@ def size_report(
     raw: Mapping[str, DataFrame],
     log_registers: int = distinct.LOG_REGISTERS,
 ) -> DataFrame:
-    """Bytes of each structure next to the bytes of the column it summarises.
+    """Bytes of each structure, as built, next to the bytes of the column it summarises.
 
     ``raw`` gives the column as a one-column table per name.
     """
-    sizes = {c: [("bloom", f.size_in_bytes)] for c, f in filters.items()}
-    for column, sketch in counters.items():
-        sizes.setdefault(column, []).append(("count_min", sketch.size_in_bytes))
+
+    def total(df: DataFrame) -> Column:
+        size = F.sum(F.octet_length(F.col(df.columns[0]).cast("string")))
+        return df.agg(F.coalesce(size, F.lit(0)).cast("bigint").alias("raw_bytes")).scalar()
+
+    def measured(structure: str, column: str, size: DataFrame) -> DataFrame:
+        name = F.lit(column).alias("column_name")
+        own = F.col("sketch_bytes").cast("bigint")
+        return size.select(F.lit(structure).alias("structure"), name, own, total(raw[column]).alias("raw_bytes"))
+
+    sizes = [measured("bloom", c, f.measured_bytes()) for c, f in filters.items()]
+    sizes += [measured("count_min", c, s.measured_bytes()) for c, s in counters.items()]
     for column in distinct_columns:
-        sizes.setdefault(column, []).append(("hyperloglog", 1 << log_registers))
-
-    def report(column: str, df: DataFrame) -> DataFrame:
-        text = F.col(df.columns[0]).cast("string")
-        total = F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).cast("bigint")
-        structures = F.array(
-            *[
-                F.struct(F.lit(name).alias("structure"), F.lit(size).cast("bigint").alias("sketch_bytes"))
-                for name, size in sizes[column]
-            ]
-        )
-        measured = df.agg(total.alias("raw_bytes")).select(F.explode(structures).alias("s"), "raw_bytes")
-        return measured.select(
-            "s.structure",
-            F.lit(column).alias("column_name"),
-            "s.sketch_bytes",
-            "raw_bytes",
-            F.try_divide(F.col("raw_bytes").cast("double"), F.col("s.sketch_bytes")).alias("ratio"),
-        )
+        built = raw[column].agg(F.hll_sketch_agg(raw[column].columns[0], log_registers).alias("sketch"))
+        sizes.append(measured("hyperloglog", column, built.select(F.octet_length("sketch").alias("sketch_bytes"))))
 
-    return reduce(DataFrame.unionByName, [report(column, df) for column, df in raw.items()])
+    ratio = F.try_divide(F.col("raw_bytes").cast("double"), F.col("sketch_bytes"))
+    return reduce(DataFrame.unionByName, sizes).withColumn("ratio", ratio)
