@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +15,14 @@ from stratoform.catalog.sql import mean, with_tables
 from stratoform.model import views
 from stratoform.plans import sales as sales_plans
 from stratoform.plans import summaries as plans
-from stratoform.session import scratch_path
+from stratoform.session import scratch_path, stage
 
 
 def stored(spark: SparkSession, name: str, df: DataFrame, *sort_by: str) -> DataFrame:
-    """``df`` stored as a summary of its own and read back."""
-    store = plans.SummaryStore(spark, scratch_path(spark, "summaries"), temporary=True)
-    own_name = f"{name}_{uuid.uuid4().hex}"
-    store.create(plans.Summary(own_name, lambda inputs: inputs["rows"], sort_by=sort_by), {"rows": df})
-    return store.read(own_name)
+    """The rows of a summary, written in order and read back."""
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+    return stage(df, name)
 
 
 _DAILY_VIEW = with_tables(
@@ -39,19 +39,26 @@ def mv_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, "mv_daily_sales", plans.daily_sales(views.sales(spark, sf_dir)), "sale_date")
 
 
-@query("mv_refresh_incremental", _DAILY_VIEW)
-def mv_refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored up to a day, then the later sales added; equal to a full rebuild."""
-    sales = views.sales(spark, sf_dir)
+def refreshed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A summary stored up to a day, the later sales added, and added once more as after a retry."""
+    inputs = {"customers": views.dim_customers(spark, sf_dir), "products": views.dim_products(spark, sf_dir)}
+    sales = views.sales_with_customer(spark, sf_dir)
     later = F.col("sale_date") >= F.lit(SINCE)
-    name = f"mv_daily_sales_{uuid.uuid4().hex}"
     store = plans.SummaryStore(spark, scratch_path(spark, "summaries"), temporary=True)
-    summary = plans.Summary(
-        name, lambda inputs: plans.daily_sales(inputs["sales"]), plans.merge_daily_sales, ("sale_date",)
-    )
-    store.create(summary, {"sales": sales.where(~later)})
-    store.refresh_incremental(name, {"sales": sales.where(later)})
-    return store.read(name)
+    summary = replace(plans.summaries()[name], name=f"{name}_{uuid.uuid4().hex}")
+    store.create(summary, inputs | {"sales": sales.where(~later)})
+    for _ in range(2):
+        store.refresh_incremental(summary.name, inputs | {"sales": sales.where(later)}, batch="later")
+    return store.read(summary.name)
+
+
+def _register_refresh(suffix: str, name: str, sql: str) -> None:
+    @query(f"mv_refresh_{suffix}", sql)
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return refreshed(spark, sf_dir, name)
+
+
+_register_refresh("incremental", "mv_daily_sales", _DAILY_VIEW)
 
 
 @query("daily_from_mv", DAILY)
@@ -69,6 +76,11 @@ def customer_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CUSTOMER_COLUMNS = "customer_id, customer_name, region, total_purchases, total_spent, avg_purchase_amount"
 
 
+_register_refresh(
+    "customer_sales", "mv_customer_sales", with_tables(f"SELECT {_CUSTOMER_COLUMNS} FROM by_customer", "by_customer")
+)
+
+
 @query("mv_customer_sales", with_tables(f"SELECT {_CUSTOMER_COLUMNS} FROM by_customer", "by_customer"))
 def mv_customer_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, "mv_customer_sales", customer_sales(spark, sf_dir))
@@ -86,6 +98,13 @@ _PRODUCT_COLUMNS = """product_id, product_name, category_name, total_sales, tota
                       avg_price"""
 
 
+_register_refresh(
+    "product_performance",
+    "mv_product_performance",
+    with_tables(f"SELECT {_PRODUCT_COLUMNS} FROM by_product", "by_product"),
+)
+
+
 @query("mv_product_performance", with_tables(f"SELECT {_PRODUCT_COLUMNS} FROM by_product", "by_product"))
 def mv_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = plans.product_performance(views.sales(spark, sf_dir), views.dim_products(spark, sf_dir))
@@ -105,6 +124,19 @@ def daily_enhanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, "mv_daily_sales_enhanced", summary, "sale_date")
 
 
+_register_refresh(
+    "daily_enhanced",
+    "mv_daily_enhanced",
+    with_tables("SELECT * EXCLUDE (net), CAST(net AS DOUBLE) AS total_revenue FROM daily", "daily"),
+)
+_register_refresh("customer_enhanced", "mv_customer_enhanced", with_tables("SELECT * FROM by_customer", "by_customer"))
+_register_refresh(
+    "product_enhanced",
+    "mv_product_enhanced",
+    with_tables("SELECT * EXCLUDE (avg_price), avg_price AS avg_sale_price FROM by_product", "by_product"),
+)
+
+
 @query(
     "mv_daily_enhanced",
     with_tables("SELECT * EXCLUDE (net), CAST(net AS DOUBLE) AS total_revenue FROM daily", "daily"),

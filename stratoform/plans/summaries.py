@@ -17,16 +17,32 @@ from pyspark.sql import functions as F
 from stratoform.functions.amounts import mean
 from stratoform.operators.zones import count_points_in_zones
 from stratoform.plans.sales import daily_by_region, totals
+from stratoform.session import remove, stage
 
 # --- definitions -----------------------------------------------------------
+#
+# Each summary is shown from a state whose rows of disjoint sales can be added
+# up: totals per day, member, (day, member) or (customer, product). Distinct
+# members are counted as rows of the state, so they stay exact.
+
+_SUMS = ("lines", "pieces", "net", "price_sum")
+
+
+def added(parts: DataFrame, *keys: str) -> DataFrame:
+    """States of disjoint sales put together; equal to the state of all of them."""
+    measures = [c for c in parts.columns if c not in keys]
+    pick = {"first_day": F.min, "last_day": F.max}
+    # A sum of sums is wider by ten digits; the stored type stays the same.
+    whole = parts.groupBy(*keys).agg(*[pick.get(c, F.sum)(c).alias(c) for c in measures])
+    return whole.select(*[F.col(c).cast(parts.schema[c].dataType).alias(c) for c in parts.columns])
 
 
 def daily_sales(sales: DataFrame) -> DataFrame:
-    return _daily_view(totals(sales, "sale_date"))
+    return daily_sales_from(totals(sales, "sale_date"))
 
 
-def _daily_view(parts: DataFrame) -> DataFrame:
-    return parts.select(
+def daily_sales_from(by_day: DataFrame) -> DataFrame:
+    return by_day.select(
         "sale_date",
         F.col("lines").alias("total_sales"),
         F.col("pieces").alias("total_quantity"),
@@ -35,18 +51,6 @@ def _daily_view(parts: DataFrame) -> DataFrame:
     )
 
 
-def merge_daily_sales(parts: DataFrame) -> DataFrame:
-    """Daily summaries of disjoint sales added up; equal to the summary of all."""
-    added = parts.groupBy("sale_date").agg(
-        F.sum("total_sales").alias("lines"),
-        F.sum("total_quantity").alias("pieces"),
-        F.sum("total_revenue").alias("net"),
-    )
-    # The sum of sums is wider by ten digits; the stored type stays the same.
-    stored = parts.schema["total_revenue"].dataType
-    return _daily_view(added.withColumn("net", F.col("net").cast(stored)))
-
-
 def _kept(dimension: DataFrame, parts: DataFrame, key: str) -> DataFrame:
     """All members, those without sales with zero lines and null sums."""
     return dimension.join(parts, key, "left").withColumn(
@@ -71,7 +75,11 @@ def customer_sales_from(by_customer: DataFrame, customers: DataFrame) -> DataFra
 
 
 def product_performance(sales: DataFrame, products: DataFrame) -> DataFrame:
-    return _kept(products, totals(sales, "product_id"), "product_id").select(
+    return product_performance_from(totals(sales, "product_id"), products)
+
+
+def product_performance_from(by_product: DataFrame, products: DataFrame) -> DataFrame:
+    return _kept(products, by_product, "product_id").select(
         "product_id",
         "product_name",
         "category_name",
@@ -82,53 +90,60 @@ def product_performance(sales: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def daily_enhanced(sales: DataFrame, lines: DataFrame | None = None) -> DataFrame:
-    """Daily totals with distinct members and the range of ids of the day.
+def day_members(sales: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Totals per day and customer, and the days' products, as rows of one table.
 
-    Customers and products are counted in two narrow passes of two steps each.
-    Two distinct aggregates in one pass would first write every sale three
-    times. ``lines`` may give the same sales without the customer, where those
-    come without a join.
+    Customers and products are taken in two narrow passes. Two distinct
+    aggregates in one pass would first write every sale three times. ``lines``
+    may give the same sales without the customer, where those come without a
+    join.
     """
-    by_customer = (
-        sales.groupBy("sale_date", "customer_id")
-        .agg(F.count(F.lit(1)).alias("lines"), F.sum("net_amount").alias("net"))
-        .groupBy("sale_date")
+    by_customer = sales.groupBy("sale_date", F.col("customer_id").alias("member")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("net_amount").alias("net")
+    )
+    products = (sales if lines is None else lines).select("sale_date", F.col("product_id").alias("member")).distinct()
+    by_product = products.select(
+        "sale_date", "member", F.lit(0).cast("bigint").alias("lines"), F.lit(0).cast(by_customer.schema["net"].dataType).alias("net")
+    )
+    return by_customer.withColumn("kind", F.lit("customer")).unionByName(by_product.withColumn("kind", F.lit("product")))
+
+
+def daily_enhanced(sales: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Daily totals with distinct members and the range of ids of the day."""
+    return daily_enhanced_from(day_members(sales, lines))
+
+
+def daily_enhanced_from(members: DataFrame) -> DataFrame:
+    of = lambda kind, column: F.when(F.col("kind") == kind, F.col(column))
+    return (
+        members.groupBy("sale_date")
         .agg(
             F.sum("lines").alias("total_sales"),
-            F.sum("net").alias("total_revenue"),
-            F.count("customer_id").alias("unique_customers"),
-            F.min("customer_id").alias("min_customer_id"),
-            F.max("customer_id").alias("max_customer_id"),
+            F.sum("net").cast(members.schema["net"].dataType).alias("total_revenue"),
+            *[F.count(of(kind, "member")).alias(f"unique_{kind}s") for kind in ("customer", "product")],
+            *[
+                pick(of(kind, "member")).alias(f"{name}_{kind}_id")
+                for kind in ("customer", "product")
+                for name, pick in (("min", F.min), ("max", F.max))
+            ],
         )
-    )
-    by_product = (
-        (sales if lines is None else lines)
-        .select("sale_date", "product_id")
-        .distinct()
-        .groupBy("sale_date")
-        .agg(
-            F.count("product_id").alias("unique_products"),
-            F.min("product_id").alias("min_product_id"),
-            F.max("product_id").alias("max_product_id"),
+        .withColumn("avg_sale_amount", mean(F.col("total_revenue"), F.col("total_sales")))
+        .select(
+            "sale_date",
+            "total_sales",
+            "total_revenue",
+            "avg_sale_amount",
+            "unique_customers",
+            "unique_products",
+            "min_customer_id",
+            "max_customer_id",
+            "min_product_id",
+            "max_product_id",
         )
     )
-    same_day = by_customer["sale_date"].eqNullSafe(by_product["sale_date"])
-    return by_customer.join(by_product, same_day).select(
-        by_customer["sale_date"],
-        "total_sales",
-        "total_revenue",
-        mean(F.col("total_revenue"), F.col("total_sales")).alias("avg_sale_amount"),
-        "unique_customers",
-        "unique_products",
-        "min_customer_id",
-        "max_customer_id",
-        "min_product_id",
-        "max_product_id",
-    )
 
 
-def _by_pair(sales: DataFrame) -> DataFrame:
+def pair_totals(sales: DataFrame) -> DataFrame:
     """Totals and first and last day per customer and product.
 
     Grouping its rows by either id gives the distinct number of the other as a
@@ -145,18 +160,18 @@ def _by_pair(sales: DataFrame) -> DataFrame:
 
 
 def customer_enhanced(sales: DataFrame, customers: DataFrame, segment: str = "gender") -> DataFrame:
-    by_customer = (
-        _by_pair(sales)
-        .groupBy("customer_id")
-        .agg(
-            F.sum("lines").alias("lines"),
-            F.sum("net").alias("net"),
-            F.min("first_day").alias("first_purchase_date"),
-            F.max("last_day").alias("last_purchase_date"),
-            F.count("product_id").alias("unique_products"),
-            F.min("product_id").alias("min_product_id"),
-            F.max("product_id").alias("max_product_id"),
-        )
+    return customer_enhanced_from(pair_totals(sales), customers, segment)
+
+
+def customer_enhanced_from(pairs: DataFrame, customers: DataFrame, segment: str = "gender") -> DataFrame:
+    by_customer = pairs.groupBy("customer_id").agg(
+        F.sum("lines").alias("lines"),
+        F.sum("net").alias("net"),
+        F.min("first_day").alias("first_purchase_date"),
+        F.max("last_day").alias("last_purchase_date"),
+        F.count("product_id").alias("unique_products"),
+        F.min("product_id").alias("min_product_id"),
+        F.max("product_id").alias("max_product_id"),
     )
     return _kept(customers, by_customer, "customer_id").select(
         "customer_id",
@@ -175,18 +190,15 @@ def customer_enhanced(sales: DataFrame, customers: DataFrame, segment: str = "ge
 
 
 def product_enhanced(sales: DataFrame, products: DataFrame) -> DataFrame:
-    by_product = (
-        _by_pair(sales)
-        .groupBy("product_id")
-        .agg(
-            F.sum("lines").alias("lines"),
-            F.sum("pieces").alias("pieces"),
-            F.sum("net").alias("net"),
-            F.sum("price_sum").alias("price_sum"),
-            F.count("customer_id").alias("unique_customers"),
-            F.min("customer_id").alias("min_customer_id"),
-            F.max("customer_id").alias("max_customer_id"),
-        )
+    return product_enhanced_from(pair_totals(sales), products)
+
+
+def product_enhanced_from(pairs: DataFrame, products: DataFrame) -> DataFrame:
+    by_product = pairs.groupBy("product_id").agg(
+        *[F.sum(c).alias(c) for c in _SUMS],
+        F.count("customer_id").alias("unique_customers"),
+        F.min("customer_id").alias("min_customer_id"),
+        F.max("customer_id").alias("max_customer_id"),
     )
     return _kept(products, by_product, "product_id").select(
         "product_id",
@@ -210,25 +222,70 @@ Inputs = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Summary:
-    """A named plan over named inputs.
+    """A named summary: its additive state from inputs, and the rows shown from a state.
 
-    ``merge`` adds up the rows of several summaries of disjoint inputs; only an
-    additive summary has one. Distinct counts are not additive.
+    ``keys`` name a row of the state. ``show`` also gets the inputs, for the
+    attributes of members.
     """
 
     name: str
-    build: Callable[[Inputs], DataFrame]
-    merge: Callable[[DataFrame], DataFrame] | None = None
+    state: Callable[[Inputs], DataFrame]
+    keys: tuple[str, ...]
+    show: Callable[[DataFrame, Inputs], DataFrame]
     sort_by: tuple[str, ...] = ()
 
+    def build(self, inputs: Inputs) -> DataFrame:
+        return self.show(self.state(inputs), inputs)
+
+
+def summaries() -> dict[str, Summary]:
+    """The six summaries over the inputs ``sales`` (with customer), ``customers`` and ``products``."""
+    of = lambda *keys: lambda inputs: totals(inputs["sales"], *keys)
+    pairs = lambda inputs: pair_totals(inputs["sales"])
+    found = (
+        Summary("mv_daily_sales", of("sale_date"), ("sale_date",), lambda s, _: daily_sales_from(s), ("sale_date",)),
+        Summary(
+            "mv_customer_sales", of("customer_id"), ("customer_id",), lambda s, i: customer_sales_from(s, i["customers"])
+        ),
+        Summary(
+            "mv_product_performance",
+            of("product_id"),
+            ("product_id",),
+            lambda s, i: product_performance_from(s, i["products"]),
+        ),
+        Summary(
+            "mv_daily_enhanced",
+            lambda inputs: day_members(inputs["sales"]),
+            ("kind", "sale_date", "member"),
+            lambda s, _: daily_enhanced_from(s),
+            ("sale_date",),
+        ),
+        Summary(
+            "mv_customer_enhanced",
+            pairs,
+            ("customer_id", "product_id"),
+            lambda s, i: customer_enhanced_from(s, i["customers"]),
+        ),
+        Summary(
+            "mv_product_enhanced",
+            pairs,
+            ("customer_id", "product_id"),
+            lambda s, i: product_enhanced_from(s, i["products"]),
+        ),
+    )
+    return {summary.name: summary for summary in found}
+
 
 @dataclass
 class SummaryStore:
     """Summaries as Parquet folders, each behind a catalog view of its name.
 
     A refresh writes a new folder and then moves the view, so readers never see
-    half a refresh and a refresh may read the summary it replaces. A temporary
-    store registers its views for the session only.
+    half a refresh and a refresh may read the summary it replaces. A folder has
+    the rows shown, the state they came from and the names of the batches that
+    are in it, so a batch that is added again changes nothing. The last two
+    versions are kept. A temporary store registers its views for the session
+    only.
     """
 
     spark: SparkSession
@@ -236,37 +293,57 @@ class SummaryStore:
     temporary: bool = False
     defined: dict[str, Summary] = field(default_factory=dict)
 
-    def create(self, summary: Summary, inputs: Inputs) -> None:
+    def create(self, summary: Summary, inputs: Inputs, batch: str = "first") -> None:
         """Register and fill the summary unless it exists."""
         self.defined[summary.name] = summary
         if not self.spark.catalog.tableExists(summary.name):
-            self._publish(summary, summary.build(inputs))
+            self._publish(summary, summary.state(inputs), inputs, [batch], [])
 
-    def refresh(self, name: str, inputs: Inputs) -> None:
+    def refresh(self, name: str, inputs: Inputs, batch: str = "first") -> None:
         """Recompute from all inputs."""
         summary = self.defined[name]
-        self._publish(summary, summary.build(inputs))
+        self._publish(summary, summary.state(inputs), inputs, [batch], self._versions(name)[:1])
 
-    def refresh_incremental(self, name: str, new_inputs: Inputs) -> None:
-        """Add the summary of new inputs; reads none of the old ones."""
+    def refresh_incremental(self, name: str, new_inputs: Inputs, batch: str) -> None:
+        """Add the sales of a batch, unless it is in already; reads none of the old ones."""
         summary = self.defined[name]
-        if summary.merge is None:
-            raise ValueError(f"{name} is not additive; refresh it from all inputs")
-        both = self.read(name).unionByName(summary.build(new_inputs))
-        self._publish(summary, summary.merge(both))
+        now = self._versions(name)
+        batches = [r.batch for r in self.spark.read.parquet(f"{now[0]}/batches").where("batch is not null").collect()]
+        if batch in batches:
+            return
+        old = self.spark.read.parquet(f"{now[0]}/state")
+        both = old.unionByName(summary.state(new_inputs).select(*[F.col(f.name).cast(f.dataType) for f in old.schema]))
+        self._publish(summary, added(both, *summary.keys), new_inputs, [*batches, batch], now[:1])
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
-    def _publish(self, summary: Summary, df: DataFrame) -> None:
+    def _versions(self, name: str) -> list[str]:
+        """The folder behind the view, and the one before it if there is one."""
+        now = self.read(name).inputFiles()[0].rsplit("/rows/", 1)[0]
+        before = self.spark.read.parquet(f"{now}/batches").where("previous is not null").collect()
+        return [now, *[r.previous for r in before]]
+
+    def _publish(
+        self, summary: Summary, state: DataFrame, inputs: Inputs, batches: list[str], previous: list[str]
+    ) -> None:
         folder = f"{self.path}/{summary.name}/{uuid.uuid4().hex}"
+        kept = stage(state, summary.name, f"{folder}/state")
+        df = summary.show(kept, inputs)
         if summary.sort_by:
             df = df.repartitionByRange(*summary.sort_by).sortWithinPartitions(*summary.sort_by)
-        df.write.parquet(folder)
+        stage(df, summary.name, f"{folder}/rows")
+        log = [(b, None) for b in batches] + [(None, p) for p in previous]
+        log = self.spark.createDataFrame(log, "batch string, previous string").coalesce(1)
+        stage(log, summary.name, f"{folder}/batches")
+        old = self._versions(summary.name)[1:] if previous else []
         if self.temporary:
-            self.spark.read.schema(df.schema).parquet(folder).createOrReplaceTempView(summary.name)
+            rows = self.spark.read.schema(df.schema).parquet(f"{folder}/rows")
+            rows.createOrReplaceTempView(summary.name)
         else:
-            self.spark.sql(f"CREATE OR REPLACE VIEW {summary.name} AS SELECT * FROM parquet.`{folder}`")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {summary.name} AS SELECT * FROM parquet.`{folder}/rows`")
+        for path in old:
+            remove(self.spark, path)
 
 
 # --- answers ---------------------------------------------------------------

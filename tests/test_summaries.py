@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -112,29 +113,28 @@ def test_mean_of_means_differs_from_the_mean(star):
     assert (later["unique_customers"], later["total_revenue"]) == (1, Decimal("40.0000"))
 
 
-def test_store(spark, star):
-    fact = star[0]
-    name = f"daily_{uuid.uuid4().hex}"
-    summary = summaries.Summary(name, lambda i: summaries.daily_sales(i["sales"]), summaries.merge_daily_sales, ("sale_date",))
-    store = summaries.SummaryStore(spark, scratch_path(spark, "store"))
+@pytest.mark.parametrize("name", sorted(summaries.summaries()))
+def test_store(spark, star, tmp_path, name):
+    fact, customers, products = star
+    summary = replace(summaries.summaries()[name], name=f"{name}_{uuid.uuid4().hex}")
+    store = summaries.SummaryStore(spark, f"file://{tmp_path}/store")
+    inputs = lambda sales: {"sales": sales, "customers": customers, "products": products}
     early, late = fact.where("sale_id <= 3"), fact.where("sale_id > 3")
-    store.create(summary, {"sales": early})
-    assert store.read(name).count() == 2
-    store.create(summary, {"sales": fact})
-    assert store.read(name).count() == 2  # it exists, so it is left as it is
-    reader = store.read(name)
-    store.refresh_incremental(name, {"sales": late})
-    assert reader.count() == 2  # a reader keeps the version it opened
-    assert rows(store.read(name)) == rows(summaries.daily_sales(fact))
-    assert store.read(name).schema.simpleString() == summaries.daily_sales(fact).schema.simpleString()
-    store.refresh_incremental(name, {"sales": late})  # the same days again are added up
-    assert store.read(name).where("sale_date = '2024-01-03'").first()["total_sales"] == 4
-    store.refresh(name, {"sales": fact})
-    assert rows(store.read(name)) == rows(summaries.daily_sales(fact))
-    other = f"zones_{uuid.uuid4().hex}"
-    store.create(summaries.Summary(other, lambda i: summaries.daily_enhanced(i["sales"])), {"sales": fact})
-    with pytest.raises(ValueError, match="not additive"):
-        store.refresh_incremental(other, {"sales": late})
+    whole = summary.build(inputs(fact))
+    store.create(summary, inputs(early))
+    before = rows(store.read(summary.name))
+    store.create(summary, inputs(fact))
+    assert rows(store.read(summary.name)) == before  # it exists, so it is left as it is
+    reader = store.read(summary.name)
+    for _ in range(2):
+        store.refresh_incremental(summary.name, inputs(late), "late")
+        assert rows(store.read(summary.name)) == rows(whole)
+    assert rows(reader) == before  # a reader keeps the version it opened
+    assert store.read(summary.name).schema.simpleString() == whole.schema.simpleString()
+    for _ in range(3):
+        store.refresh(summary.name, inputs(fact))
+    assert rows(store.read(summary.name)) == rows(whole)
+    assert len(list((tmp_path / "store" / summary.name).iterdir())) == 2
 
 
 @pytest.mark.parametrize(
