@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from stratoform.catalog import all_queries  # noqa: E402
 from stratoform.catalog import sketches as sketch_queries  # noqa: E402
 from stratoform.catalog import summaries as summary_queries  # noqa: E402
-from stratoform.catalog.analytics import recent_sales, target_customers  # noqa: E402
+from stratoform.catalog.analytics import daily_region_sales, recent_sales, target_customers  # noqa: E402
 from stratoform.catalog.layouts import narrow_sales  # noqa: E402
 from stratoform.catalog.registry import SINCE  # noqa: E402
 from stratoform.functions.hashing import Hash  # noqa: E402
@@ -112,6 +112,7 @@ def main() -> None:
     customers = views.dim_customers(spark, SF_DIR).select("customer_id")
     prepared("buyer_filter", lambda: BloomFilter.build(headers, "customer_id", customers.count()).stored())
     prepared("buyer_counts", lambda: CountMin.build(headers, "customer_id", width=4000).stored())
+    prepared("daily_zones", lambda: summary_queries.mv_daily_enhanced(spark, SF_DIR))
     prepared("customer_summary", lambda: summary_queries.customer_enhanced(spark, SF_DIR))
     buyers = views.buyers(spark, SF_DIR).join(views.sales(spark, SF_DIR), "sale_id")
     by_day = distinct.sketches(buyers, F.col("customer_id"), ["sale_date"])
@@ -124,7 +125,7 @@ def main() -> None:
         headers = sketch_plans.prefiltered(
             views.buyers(spark, SF_DIR), "customer_id", targets, "customer_id", ready["bloom_filter"]
         )
-        return views.totals_by_customer(recent_sales(spark, SF_DIR), headers)
+        return views.totals_of_buyers(recent_sales(spark, SF_DIR), headers)
 
     def semi_join() -> DataFrame:
         headers = sales_plans.having_row(views.buyers(spark, SF_DIR), targets, "customer_id")
@@ -137,6 +138,8 @@ def main() -> None:
         "range_read_sorted": lambda: run(spark.read.parquet(sorted_path).where(month).orderBy("sale_date")),
         "semi_join_base": lambda: run(semi_join()),
         "semi_join_bloom": lambda: run(bloom_join()),
+        "zones_base": lambda: run(daily_region_sales(spark, SF_DIR)),
+        "zones_pruned": lambda: run(summary_queries.pruned_daily(spark, SF_DIR, ready["daily_zones"])),
         "exists_base": lambda: run(
             sales_plans.lookup(customers, "customer_id", sales_plans.totals(buyers, "customer_id"))
         ),
@@ -173,6 +176,7 @@ def main() -> None:
                     "summary": round(times["daily_base"] / times["daily_from_summary"], 2),
                     "sorted_copy": round(times["range_read_base"] / times["range_read_sorted"], 2),
                     "bloom_join": round(times["semi_join_base"] / times["semi_join_bloom"], 2),
+                    "hybrid": round(times["zones_base"] / times["zones_pruned"], 2),
                     "bloom_exists": round(times["exists_base"] / times["exists_bloom"], 2),
                     "frequency": round(times["frequency_base"] / times["frequency_sketch"], 2),
                     "segments": round(times["segments_base"] / times["segments_from_summary"], 2),

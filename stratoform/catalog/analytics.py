@@ -221,7 +221,7 @@ def point_lookup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = target_customers(spark, sf_dir)
     probes = known.unionByName(unknown_ids(known, "customer_id"))
     headers = plans.having_row(views.buyers(spark, sf_dir), probes, "customer_id")
-    return plans.lookup(probes, "customer_id", views.totals_by_customer(views.sales(spark, sf_dir), headers))
+    return plans.lookup(probes, "customer_id", views.totals_of_buyers(views.sales(spark, sf_dir), headers))
 
 
 def unknown_ids(known: DataFrame, key: str) -> DataFrame:

@@ -93,7 +93,7 @@ def bloom_prefilter_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = key_filter(targets, "customer_id", Hash.FAST).stored()
     headers = plans.prefiltered(views.buyers(spark, sf_dir), "customer_id", targets, "customer_id", members)
     recent = sales_plans.since(views.sales(spark, sf_dir), SINCE)
-    return views.totals_by_customer(recent, headers).select(
+    return views.totals_of_buyers(recent, headers).select(
         "customer_id", F.col("lines").alias("total_sales"), F.col("net").alias("total_revenue")
     )
 

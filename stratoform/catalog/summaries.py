@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratoform.catalog.analytics import DAILY, DAILY_REGION, regional_sales
+from stratoform.catalog.analytics import DAILY, DAILY_REGION, recent_sales
 from stratoform.catalog.registry import REGIONS, SINCE, query
 from stratoform.catalog.sql import mean, with_tables
 from stratoform.model import views
@@ -221,8 +221,18 @@ def range_join_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.zone_totals(daily, sales_plans.in_regions(views.dim_customers(spark, sf_dir), REGIONS))
 
 
+def pruned_daily(spark: SparkSession, sf_dir: str, daily: DataFrame) -> DataFrame:
+    """Recent sales by day and region, with days skipped by a stored daily summary."""
+    wanted = sales_plans.in_regions(views.dim_customers(spark, sf_dir), REGIONS)
+    buyers = views.buyers(spark, sf_dir)
+    return plans.zone_pruned_daily(
+        plans.daily_since(daily, SINCE),
+        recent_sales(spark, sf_dir),
+        wanted,
+        lambda lines: views.located_sales(lines, buyers, wanted, "region"),
+    )
+
+
 @query("zone_pruned_daily", DAILY_REGION)
 def zone_pruned_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = plans.daily_since(daily_enhanced(spark, sf_dir), SINCE)
-    wanted = sales_plans.in_regions(views.dim_customers(spark, sf_dir), REGIONS)
-    return plans.zone_pruned_daily(daily, regional_sales(spark, sf_dir), wanted)
+    return pruned_daily(spark, sf_dir, daily_enhanced(spark, sf_dir))

@@ -8,19 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_sorted(df: DataFrame, path: str, *columns: str, lookup: bool = False) -> None:
+def write_sorted(df: DataFrame, path: str, *columns: str) -> None:
     """Copy sorted by ``columns`` across files, so min/max statistics skip most of them.
 
     A hash of the whole row is the last range key: without it all rows of one
-    hot value would be sorted and written by a single task. ``lookup`` adds
-    Parquet Bloom filters on ``columns`` for equality probes.
+    hot value would be sorted and written by a single task.
     """
     spread = F.xxhash64(*df.columns)
-    writer = df.repartitionByRange(*columns, spread).sortWithinPartitions(*columns).write
-    if lookup:
-        for column in columns:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-    writer.mode("overwrite").parquet(path)
+    df.repartitionByRange(*columns, spread).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
 @dataclass(frozen=True)

@@ -431,11 +431,16 @@ def zone_totals(daily: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def zone_pruned_daily(daily: DataFrame, located_sales: DataFrame, customers: DataFrame) -> DataFrame:
+def zone_pruned_daily(
+    daily: DataFrame, lines: DataFrame, customers: DataFrame, locate: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """Sales per day and region, read only for days that can have any.
 
     A day is skipped when no wanted customer's id lies in its id range. The
-    rest is exact, so the result equals the query without the summary.
+    lines of skipped days go before ``locate`` joins the rest to the regions.
+    The rest is exact, so the result equals the query without the summary.
     """
-    candidates = customers_in_daily_zones(daily, customers).select("sale_date").distinct()
-    return daily_by_region(located_sales.join(candidates, "sale_date", "left_semi"))
+    zones = count_points_in_zones(
+        daily, "sale_date", "min_customer_id", "max_customer_id", customers, None, "customer_id"
+    )
+    return daily_by_region(locate(lines.join(zones.select("sale_date"), "sale_date", "left_semi")))

@@ -268,7 +268,7 @@ def test_sorted_copy_splits_a_hot_value(spark, tmp_path, request):
     request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true"))
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     path = f"file://{tmp_path}/sorted"
-    write_sorted(df, path, "k", lookup=True)
+    write_sorted(df, path, "k")
     copy = spark.read.parquet(path)
     assert rows(copy) == rows(df)
     files = copy.select(F.input_file_name().alias("file"), "k").where("k = 0").groupBy("file").count()
