@@ -16,6 +16,7 @@ def all_queries() -> dict[str, Query]:
         layouts,
         modelling,
         quality,
+        records,
         sketches,
         summaries,
     )

@@ -137,6 +137,11 @@ class DeclaredTable:
             f"USING PARQUET OPTIONS (compression 'snappy') {where} TBLPROPERTIES ({props})"
         )
 
+    def replace(self, df: DataFrame) -> None:
+        """These rows and no others; the table keeps its declaration and properties."""
+        self.create(df.sparkSession)
+        self.conform(df).write.insertInto(self.full_name, overwrite=True)
+
     def conform(self, df: DataFrame) -> DataFrame:
         """``df`` in the declared column order and types; fails on a lossy cast."""
         return df.to(schema_of(self.layer, self.table))

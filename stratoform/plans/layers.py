@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from stratoform.model.schemas import DeclaredTable
-from stratoform.plans.gold import dim_customers, dim_products, fact_sales, save_as_table
+from stratoform.plans.gold import dim_customers, dim_products, fact_sales
 from stratoform.plans.silver import TRANSFORMS
 from stratoform.sources.files import count_tables
 
@@ -19,8 +19,7 @@ def save_layer(
     """Replace the layer's tables, in their declared schema, and return them as stored."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in tables.items():
-        declared = DeclaredTable(layer, name, database)
-        save_as_table(declared.conform(df), declared.full_name)
+        DeclaredTable(layer, name, database).replace(df)
     return read_layer(spark, tables, database)
 
 
