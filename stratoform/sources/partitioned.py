@@ -31,11 +31,11 @@ class YearlyTable:
     def write(self, df: DataFrame) -> None:
         """Store the accepted rows.
 
-        The years are few, so each is spread over the tasks that read it
-        instead of being gathered into one task per year.
+        Rows are gathered by year, so that not every task writes into every
+        year; the rebalancing splits a large year over several tasks.
         """
         accepted = df.where(self._accepted()).withColumn("sale_year", self._year())
-        accepted.write.mode("overwrite").partitionBy("sale_year").parquet(self.path)
+        accepted.hint("rebalance", "sale_year").write.mode("overwrite").partitionBy("sale_year").parquet(self.path)
 
     def rejected(self, df: DataFrame) -> DataFrame:
         return df.where(~self._accepted())
