@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANED_AT_END: set[str] = set()
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app_name: str = "stratoform", master: str | None = None, **conf: str) -> SparkSession:
@@ -84,9 +85,16 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder, or to ``path``, and read it back.
 
     Cuts the lineage at files that outlive any executor, and lets later reads
-    prune columns, which a checkpointed RDD does not.
+    prune columns, which a checkpointed RDD does not. Once it is written, the
+    shuffle files that led to it are of no more use, so they go at once and
+    not only when the driver collects its garbage.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
