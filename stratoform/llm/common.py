@@ -43,11 +43,16 @@ def binary(column: pa.Array) -> list[bytes]:
 
 
 _SHIPPED: set[str] = set()
+#: Documents in an Arrow batch, unless the session has a number of its own; Spark's default suits short rows.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Gives the executors' Python workers this package, as ``--py-files`` would; once for each application."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
     if context.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent.parent

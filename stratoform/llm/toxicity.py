@@ -42,7 +42,7 @@ MIN_TEXTS, MIN_WEIGHT = 4, 2.0
 #: N-grams kept, the strongest first; a worker holds them in a table.
 MAX_WEIGHTS = 200_000
 #: Tokens whose scores a worker keeps; it starts over beyond that.
-MEMO_TOKENS = 300_000
+MEMO_TOKENS = 100_000
 
 #: The letters that a sign is used for.
 MEANT = {
