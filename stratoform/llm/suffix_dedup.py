@@ -16,7 +16,7 @@ of 1, 2, 4 ... phrases and ranks again. A unique anchor drops out: no string of
 it starts elsewhere. An anchor stops where the next doubling might look past
 the end of one of its strings; those that stop with equal ranks may share
 strings. Among them, all strings of an anchor at once are compared by hash;
-where these differ, string by string.
+where these differ, blocks of strings; and where these do, string by string.
 
 Null text is empty. Equal rows repeat each other, and each gets a row; a null
 ``doc_id`` stays null.
@@ -36,12 +36,14 @@ from pyspark.sql import functions as F
 
 from stratoform.llm.common import binary, map_batches, record, same
 from stratoform.operators.numbering import with_row_numbers
-from stratoform.session import stage
+from stratoform.session import remove, scratch_path, stage
 
 LENGTH = 400
 GRAM = 8
 #: Bytes of the next phrase that a phrase's name includes.
 OVERLAP = 16
+#: Strings that are compared at once before they are compared one by one.
+BLOCK = 16
 #: Windows that are turned into arrays at once.
 SLICE = 1 << 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -150,7 +152,7 @@ def _positions(numbered: DataFrame, shape: Shape) -> DataFrame:
 _CARRIED = ("uid", "i", "level", "first", "last", "lead", "strings")
 
 
-def _reranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _reranked(rows: DataFrame, keys: list[str], path: str) -> DataFrame:
     """``rows`` whose ``keys`` are not unique, with the rank of their keys; written.
 
     Equal keys are counted before anything is sorted, so a key that a third of
@@ -158,18 +160,21 @@ def _reranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """
     repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     ranks = with_row_numbers(repeated, keys, "rank_after")
-    return stage(rows.join(ranks, keys).select(*_CARRIED, F.col("rank_after").alias("rank")), name)
+    return stage(rows.join(ranks, keys).select(*_CARRIED, F.col("rank_after").alias("rank")), "", path)
 
 
-def candidates(positions: DataFrame) -> Iterator[DataFrame]:
-    """For each doubling the anchors that stop there: (…, level, rank), with strings of equal rank to compare."""
-    active = _reranked(positions, ["name"], "ranks")
+def candidates(positions: DataFrame, path: str) -> Iterator[DataFrame]:
+    """For each doubling the anchors that stop there: (…, level, rank), with strings of equal rank to compare.
+
+    The ranks of each doubling are written below ``path``.
+    """
+    active = _reranked(positions, ["name"], f"{path}/0")
     for level in range(32):
         yield active.where((F.col("level") == level) & (F.col("last") >= F.col("first")))
         ahead = Window.partitionBy("uid").orderBy("i").rangeBetween(1 << level, 1 << level)
         pairs = active.withColumn("rank_ahead", F.max("rank").over(ahead))
         pairs = pairs.where((F.col("level") > level) & F.col("rank_ahead").isNotNull())
-        active = _reranked(pairs, ["rank", "rank_ahead"], "ranks")
+        active = _reranked(pairs, ["rank", "rank_ahead"], f"{path}/{level + 1}")
         if active.isEmpty():
             return
 
@@ -178,69 +183,136 @@ def _split(stopped: DataFrame) -> DataFrame:
     """Adds ``n``, the anchors with equal strings, and ``kinds``, the different strings of a rank."""
     alike = stopped.groupBy("level", "rank", "strings").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "i")).alias("one"))
     kinds = alike.groupBy("level", "rank").agg(F.count(F.lit(1)).alias("kinds"))
-    counted = alike.join(kinds, ["level", "rank"]).where("n > 1 or kinds > 1")
+    # Written, so that the join with the strings of many copies can be split over tasks.
+    counted = stage(alike.join(kinds, ["level", "rank"]).where("n > 1 or kinds > 1"), "alike")
     return stopped.join(counted, ["level", "rank", "strings"])
 
 
-def _string_hashes(docs: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
-    """(key, place, uid, first, n): a row for each string of the wanted anchors.
+def _with_texts(docs: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """(text, own): each document that ``wanted`` names, with the wanted rows as an array."""
+    own = wanted.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct(*columns)).alias("own"))
+    return docs.join(own, same(docs, own, "doc_id", "text_hash")).select(docs["text"], "own")
+
+
+def _blocks(docs: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
+    """(place, core, hull, uid, first, size, n): a row for each block of strings of the wanted anchors.
 
-    ``place`` tells strings at the same distance from anchors of the same rank
-    apart from others; equal (key, place) are equal strings.
+    A block has the strings whose distances from the anchor differ in less than
+    ``BLOCK``; ``place`` names the anchor's rank and the block. The core is
+    inside every string of the block, and the hull holds them all.
     """
-    own = wanted.groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("uid", "first", "last", "lead", "n", F.xxhash64("level", "rank").alias("place"))).alias("own")
-    )
-    joined = docs.join(own, same(docs, own, "doc_id", "text_hash")).select(docs["text"], "own")
+    wanted = wanted.withColumn("place", F.xxhash64("level", "rank"))
+    joined = _with_texts(docs, wanted, "uid", "first", "last", "lead", "n", "place")
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, places, uids, firsts, counts = [], [], [], [], []
+        rows: list[tuple] = []
         digest, length = xxhash.xxh64_intdigest, shape.length
         for text, own in zip(binary(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             for x in own:
-                size = x["last"] - x["first"] + 1
-                starts = range(x["first"], x["last"] + 1)
-                keys += [digest(text[p : p + length]) for p in starts]
-                places += [x["place"] + x["lead"] - k & 0x7FFFFFFFFFFFFFFF for k in range(size)]
-                uids += [x["uid"]] * size
+                anchor, at = x["first"] + x["lead"], x["first"]
+                while at <= x["last"]:
+                    block = (anchor - at) // BLOCK
+                    nearest = anchor - block * BLOCK
+                    stop = min(x["last"], nearest)
+                    core = digest(text[nearest : nearest - BLOCK + 1 + length])
+                    hull = digest(text[at : stop + length])
+                    rows.append((x["place"] + block & 0x7FFFFFFFFFFFFFFF, core, hull, x["uid"], at, stop - at + 1, x["n"]))
+                    at = stop + 1
+        place, core, hull, uid, first, size, n = zip(*rows, strict=True) if rows else [()] * 7
+        as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+        return record(
+            place=pa.array(place, pa.int64()),
+            core=as_long(core),
+            hull=as_long(hull),
+            uid=pa.array(uid, pa.int64()),
+            first=pa.array(first, pa.int32()),
+            size=pa.array(size, pa.int32()),
+            n=pa.array(n, pa.int64()),
+        )
+
+    found = map_batches(joined, of, "place long, core long, hull long, uid long, first int, size int, n long")
+    return found.dropDuplicates(["place", "uid", "first"])  # equal rows of a document
+
+
+def _strings(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """(place, string, uid, first, total): the strings of wanted blocks one by one, by hash."""
+    joined = _with_texts(docs, wanted, "uid", "first", "size", "place", "total")
+
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        places, strings, uids, firsts, totals = [], [], [], [], []
+        digest = xxhash.xxh64_intdigest
+        for text, own in zip(binary(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+            for x in own:
+                starts = range(x["first"], x["first"] + x["size"])
+                strings += [digest(text[p : p + length]) for p in starts]
+                places += [x["place"]] * x["size"]
+                uids += [x["uid"]] * x["size"]
                 firsts += starts
-                counts += [x["n"]] * size
+                totals += [x["total"]] * x["size"]
         return record(
-            key=pa.array(np.array(keys, np.uint64).view(np.int64)),
             place=pa.array(places, pa.int64()),
+            string=pa.array(np.array(strings, np.uint64).view(np.int64)),
             uid=pa.array(uids, pa.int64()),
             first=pa.array(firsts, pa.int32()),
-            n=pa.array(counts, pa.int64()),
+            total=pa.array(totals, pa.int64()),
         )
 
-    return map_batches(joined, of, "key long, place long, uid long, first int, n long")
+    found = map_batches(joined, of, "place long, string long, uid long, first int, total long")
+    return found.dropDuplicates(["place", "uid", "first"])  # equal rows of a document
+
+
+def _block_spans(docs: DataFrame, blocks: DataFrame, owners: DataFrame, length: int) -> DataFrame:
+    """(uid, first, stop) of the strings of blocks that are repeated.
+
+    Equal hulls (of as many strings) repeat each other whole. A core that only
+    one block has makes all strings of the block unique. What is left, blocks
+    with a shared core and different hulls, is compared string by string.
+    """
+    hulls = blocks.groupBy("place", "core", "hull", "size").agg(
+        F.sum("n").alias("total"), F.min(F.struct("uid", "first")).alias("one")
+    )
+    open_cores = hulls.groupBy("place", "core").agg(F.count(F.lit(1)).alias("hulls")).where("hulls > 1").drop("hulls")
+    shared = hulls.where("total > 1").select("place", "core", "hull", "size")
+    # Strings of anchors that several documents have are known to be repeated already.
+    whole = blocks.where("n = 1").join(shared, ["place", "core", "hull", "size"], "left_semi")
+    whole = whole.select("uid", "first", (F.col("first") + F.col("size") - 1 + length).alias("stop"))
+    chosen = hulls.join(open_cores, ["place", "core"], "left_semi")
+    chosen = chosen.select("one.uid", "one.first", "size", F.xxhash64("place", "core").alias("place"), "total")
+    strings = stage(_strings(docs, chosen.join(owners, "uid"), length), "strings")
+    twice = strings.groupBy("place", "string").agg(F.sum("total").alias("all")).where("all > 1")
+    single = strings.where("total = 1").join(twice, ["place", "string"], "left_semi")
+    return whole.union(single.select("uid", "first", (F.col("first") + length).alias("stop")))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, text_hash, spans): the stretches of repeated strings, sorted; documents without any have no row."""
+    """(doc_id, text_hash, spans): the stretches of repeated strings, sorted; documents without any have no row.
+
+    Intermediate tables go as soon as the next ones are written.
+    """
     shape = Shape(length)
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
     # The number of a row holds for what is written here and is not used beyond it.
     numbered = rows.where(F.octet_length("text") >= length).withColumn("uid", F.monotonically_increasing_id())
-    kept = numbered.select("uid", "doc_id", "text_hash", "text")
-    positions = stage(_positions(kept, shape), "positions")
-    owners = positions.where("i = 0").select("uid", "doc_id", "text_hash")
+    paths = {name: scratch_path(spark, name) for name in ("positions", "ranks", "candidates", "blocks")}
+    positions = stage(_positions(numbered.select("uid", "doc_id", "text_hash", "text"), shape), "", paths["positions"])
+    owners = stage(positions.where("i = 0").select("uid", "doc_id", "text_hash"), "owners")
     stopped = None
-    for part in candidates(positions.drop("doc_id", "text_hash")):
+    for part in candidates(positions.drop("doc_id", "text_hash"), paths["ranks"]):
+        if stopped is None:
+            remove(spark, paths["positions"])
         stopped = part if stopped is None else stopped.unionByName(part)
-    counted = stage(_split(stopped), "candidates")
-    whole = counted.where("n > 1").select("uid", "first", (F.col("last") + length).alias("stop"))
+    counted = stage(_split(stopped), "", paths["candidates"])
+    remove(spark, paths["ranks"])
     # Anchors with equal strings are compared once, by the first of them.
     chosen = counted.where("kinds > 1 and uid = one.uid and i = one.i")
-    strings = stage(_string_hashes(rows, chosen.join(owners, "uid"), shape), "strings")
-    twice = strings.groupBy("key", "place").agg(F.sum("n").alias("total")).where("total > 1")
-    single = strings.where("n = 1").join(twice, ["key", "place"], "left_semi")
-    spans = whole.union(single.select("uid", "first", (F.col("first") + length).alias("stop")))
-    return (
-        spans.join(owners, "uid")
-        .groupBy("doc_id", "text_hash")
-        .agg(F.sort_array(F.collect_set(F.struct("first", "stop"))).alias("spans"))
-    )
+    blocks = stage(_blocks(rows, chosen.join(owners, "uid"), shape), "", paths["blocks"])
+    whole = counted.where("n > 1").select("uid", "first", (F.col("last") + length).alias("stop"))
+    spans = whole.union(_block_spans(rows, blocks, owners, length)).join(owners, "uid").groupBy("doc_id", "text_hash")
+    found = stage(spans.agg(F.sort_array(F.collect_set(F.struct("first", "stop"))).alias("spans")), "spans")
+    remove(spark, paths["candidates"])
+    remove(spark, paths["blocks"])
+    return found
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
