@@ -38,20 +38,24 @@ BANDS = ((0, 21), (21, 21), (42, 22))
 TREE_SIZE = 20_000
 
 
-def fingerprint(text: bytes) -> int:
-    """The SimHash of a text's word shingles, as an unsigned number."""
+def digests(text: bytes, size: int) -> bytes:
+    """The hashes of a text's shingles of ``size`` words, one after the other."""
     words = text.lower().split()  # of bytes: A-Z and the six ASCII blanks only
     if not words:
-        return 0
+        return b""
     whole = b" ".join(words)
-    if len(words) <= SHINGLE:
-        return xxhash.xxh64_intdigest(whole, SEED)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[: -SHINGLE] + 1))
     digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(whole[a:b], SEED) for a, b in zip(starts.tolist(), ends[SHINGLE - 1 :].tolist(), strict=True)])
+    if len(words) <= size:
+        return digest(whole, SEED)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-size] + 1))
+    return b"".join([digest(whole[a:b], SEED) for a, b in zip(starts.tolist(), ends[size - 1 :].tolist(), strict=True)])
+
+
+def fingerprint(text: bytes) -> int:
+    """The SimHash of a text's word shingles, as an unsigned number."""
+    rows = np.frombuffer(digests(text, SHINGLE), np.uint8).reshape(-1, 8)
     total = np.zeros(64, np.int64)
-    rows = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
     for at in range(0, len(rows), 1 << 16):
         total += np.unpackbits(rows[at : at + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * total > len(rows)).tobytes(), "big")
@@ -180,13 +184,18 @@ def near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row of each component of near copies: the one with the smallest id, then the smallest text hash.
+    """One row of each component of near copies: the one with the smallest id, then the smallest text hash."""
+    return keep_first(docs, _classes(docs, radius))
+
+
+def keep_first(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The first row of each ``root`` by id and text hash; ``classes`` has (doc_id, text_hash, root) for each row.
 
     The choice is made on ids and hashes, in the map tasks first; the texts
     move once, to meet it. Of equal rows that are chosen, one stays.
     """
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
-    chosen = _classes(docs, radius).groupBy("root").agg(F.min(order).alias("one")).select("one.doc_id", "one.text_hash")
+    chosen = classes.groupBy("root").agg(F.min(order).alias("one")).select("one.doc_id", "one.text_hash")
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
     kept = hashed.join(chosen, same(hashed, chosen, "doc_id", "text_hash"), "left_semi")
     first = Window.partitionBy("doc_id", "text_hash").orderBy("text")
