@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratoform.llm import decontaminate, langid, mixing, pii, quality, simhash, substring, suffix_dedup, tokens, toxicity
+from stratoform.llm import (
+    decontaminate,
+    divergence,
+    exact,
+    langid,
+    mixing,
+    negatives,
+    pii,
+    quality,
+    simhash,
+    substring,
+    suffix_dedup,
+    tokens,
+    toxicity,
+)
 from stratoform.llm.sql import SQL
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +90,20 @@ def op10_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op11_run_length_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_two_pass_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.copies(_table(spark, sf_dir, "documents"))
+
+
+def op13_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the ids divisible by 100; every seventh row has a wrong label on purpose."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Build] = {
     f.__name__: f
     for f in (
@@ -89,6 +117,9 @@ QUERIES: dict[str, Build] = {
         op8_prefix_doubling,
         op9_suffix_decontamination,
         op10_longest_match,
+        op11_run_length_audit,
+        op12_two_pass_bloom,
+        op13_length_buckets,
     )
 }
 

@@ -78,4 +78,89 @@ select doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, cast(coalesce(n_h
 from docs left join hit_words using (r) left join hit_items using (r)
 """
 
-SQL: dict[str, str] = {"op4_rule_ledger": OP4, "op9_suffix_decontamination": OP9}
+OP11 = r"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), words as (
+  select r, lang, source, unnest(w) as term from docs
+), kept as (
+  select lang, term, count(*) as n from words group by lang, term having count(distinct r) >= 30
+), langs as (
+  select lang, count(*) as v, sum(n) as total from kept group by lang
+), groups as (
+  select distinct lang, source from docs
+), counts as (
+  select lang, source, term, count(*) as n from words join kept using (lang, term) group by lang, source, term
+), cells as (
+  select lang, source, term, coalesce(c.n, 0) as n, kept.n as n_lang
+  from groups join kept using (lang) left join counts c using (lang, source, term)
+), totals as (
+  select lang, source, sum(n) as total from cells group by lang, source
+), shares as (
+  select lang, source, term, n,
+         1 + 1000000000 * cast(n + 5 as hugeint) // cast(t.total + 5 * v as hugeint) as p,
+         1 + 1000000000 * cast(n_lang + 5 as hugeint) // cast(langs.total + 5 * v as hugeint) as q
+  from cells join totals t using (lang, source) join langs using (lang)
+), apart as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by a.lang, a.source, b.source
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join apart on apart.lang = a.lang and apart.source = a.source and apart.item = b.source
+  union all
+  select lang, source, 'term', term, p - q from shares where n > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank from found
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from ranked where part = 'pair' or rank <= 50
+"""
+
+OP12 = r"""
+with docs as (
+  select row_number() over () as r, doc_id, length(coalesce(text, '')) as n,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) as text_sha256
+  from documents
+), placed as (
+  select *, row_number() over (partition by text_sha256 order by n desc, doc_id nulls last, r) as place from docs
+)
+select doc_id, first_value(doc_id) over g as keep_id, count(*) over (partition by text_sha256) as group_size,
+       place = 1 as kept, text_sha256
+from placed window g as (partition by text_sha256 order by place)
+"""
+
+OP13 = r"""
+with rows as (
+  select row_number() over () as r, vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.r as anchor, a.vec_id as anchor_id, b.r, b.vec_id, a.label = b.label as alike,
+         cast(list_inner_product(a.v, b.v) as bigint) as score
+  from rows a join rows b on a.r <> b.r where a.vec_id % 100 = 0
+), positives as (
+  select * from scored where alike
+  qualify row_number() over (partition by anchor order by score desc, vec_id, r) <= 5
+)
+select p.anchor_id, p.vec_id as positive_id,
+       cast(row_number() over (partition by p.anchor, p.r order by n.score desc, n.vec_id, n.r) as integer) as rank,
+       n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join scored n on n.anchor = p.anchor and not n.alike
+where 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+qualify rank <= 5
+"""
+
+SQL: dict[str, str] = {
+    "op4_rule_ledger": OP4,
+    "op9_suffix_decontamination": OP9,
+    "op11_run_length_audit": OP11,
+    "op12_two_pass_bloom": OP12,
+    "op13_length_buckets": OP13,
+}
