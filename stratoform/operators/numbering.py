@@ -28,7 +28,7 @@ def with_row_numbers(df: DataFrame, order: Sequence[Column | str], output: str)
     # One row per sort partition: small whatever the table's size.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    numbered = placed.withColumn("_part", part).join(offsets, "_part")
     return numbered.select(
         (F.col("_offset") + row + 1).alias(output), *[F.col(c) for c in df.columns]
     )

@@ -12,8 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from stratoform.operators.numbering import with_row_numbers
+from pyspark.sql import types as T
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -29,41 +28,50 @@ def spread_nulls(df: DataFrame, key: str) -> Column:
     return F.when(F.col(key).isNull(), F.xxhash64(*df.columns)).otherwise(0)
 
 
+def _next_instants(instants: DataFrame, is_date: bool) -> DataFrame:
+    """(_key, _first) with ``_next``, the next larger start of the key; null comes before all others.
+
+    The windows go over the days of a key, the seconds of a day and the
+    instants of a second, so the calendar bounds each of them.
+    """
+    over = lambda *keys: F.lead("_first").over(Window.partitionBy(*keys).orderBy("_first"))
+    if is_date:
+        return instants.withColumn("_next", over("_key"))
+    at = F.col("_first")
+    if isinstance(instants.schema["_first"].dataType, T.TimestampType):
+        second = F.unix_seconds(at)
+    else:
+        clock = (F.hour(at) * 60 + F.minute(at)) * 60 + F.floor(F.second(at))
+        second = F.unix_date(F.to_date(at)).cast("bigint") * 86400 + clock
+    moments = instants.withColumn("_second", second).withColumn("_day", F.floor(F.col("_second") / 86400))
+    seconds = moments.groupBy("_key", "_day", "_second").agg(F.min("_first").alias("_first"))
+    days = seconds.groupBy("_key", "_day").agg(F.min("_first").alias("_first"))
+    by_second = seconds.select(F.col("_key").alias("_key2"), F.col("_second").alias("_second2"), over("_key", "_day").alias("_in_day"))
+    by_day = days.select(F.col("_key").alias("_key3"), F.col("_day").alias("_day3"), over("_key").alias("_later"))
+    moments = moments.withColumn("_in_second", over("_key", "_second"))
+    met = moments.join(by_second, _same(moments, by_second, [("_key", "_key2"), ("_second", "_second2")]))
+    met = met.join(by_day, _same(met, by_day, [("_key", "_key3"), ("_day", "_day3")]))
+    return met.select("_key", "_first", "_last", F.coalesce("_in_second", "_in_day", "_later").alias("_next"))
+
+
 def with_next_start(
     df: DataFrame, key: str, start: str, tiebreak: Sequence[str], output: str = "next_start"
 ) -> DataFrame:
     """Start of the following version of the same key, null for the last one.
 
-    Equal to ``lead(start) over (partition by key order by start, tiebreak)``.
-    The days of a key are walked in a window, which the calendar bounds. Rows
-    that share their key and day are put in order by one range sort, which
-    splits even a single day over tasks, and each meets the one behind it by
-    its number.
+    Equal to ``lead(start) over (partition by key order by start, tiebreak)`` for
+    a tiebreak that tells the rows of a key and start apart; rows alike in it
+    get the same next start. Of the rows that share key and start, the last one
+    is followed by the next larger start and all others by their own, so one
+    maximum for each start, formed in the map tasks, is all the order it takes.
     """
-    day = F.to_date(start)
-    by_day = df.groupBy(F.col(key).alias("_key"), day.alias("_on")).agg(
-        F.min(start).alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    calendar = Window.partitionBy("_key").orderBy("_on")
-    by_day = by_day.withColumn("_next_day", F.lead("_first").over(calendar)).drop("_first")
-    rows = df.withColumn("_day", day)
-    joined = rows.join(by_day, _same(rows, by_day, [(key, "_key"), ("_day", "_on")])).drop("_key", "_on")
-
-    shared = joined.where("_rows > 1")
-    numbered = with_row_numbers(shared, [key, start, *tiebreak], "_number")
-    behind = numbered.select(
-        (F.col("_number") - 1).alias("_before"),
-        F.col(key).alias("_key"),
-        F.col("_day").alias("_on"),
-        F.struct(F.col(start).alias("start")).alias("_following"),
+    instants = df.groupBy(F.col(key).alias("_key"), F.col(start).alias("_first")).agg(
+        F.max(F.struct(*tiebreak)).alias("_last")
     )
-    # A row without a start can be followed by another one, so a null does not mean "last".
-    met = numbered.join(behind, numbered["_number"] == behind["_before"], "left")
-    same_day = met["_following"].isNotNull() & met[key].eqNullSafe(met["_key"]) & met["_day"].eqNullSafe(met["_on"])
-    ordered = met.withColumn(output, F.when(same_day, F.col("_following.start")).otherwise(F.col("_next_day")))
-    single = joined.where("_rows = 1").withColumn(output, F.col("_next_day"))
-    columns = [*df.columns, output]
-    return single.select(columns).unionByName(ordered.select(columns))
+    following = _next_instants(instants, isinstance(df.schema[start].dataType, T.DateType))
+    met = df.join(following, _same(df, following, [(key, "_key"), (start, "_first")]))
+    is_last = F.struct(*[df[c] for c in tiebreak]).eqNullSafe(F.col("_last"))
+    return met.select(*[df[c] for c in df.columns], F.when(is_last, F.col("_next")).otherwise(df[start]).alias(output))
 
 
 def with_version_in_force(
@@ -79,7 +87,7 @@ def with_version_in_force(
     """Each fact with ``attributes`` of the version valid on its day.
 
     A version is valid from the day it starts to the day before the next one
-    starts, or to its stored last day if ``end`` names it (null: no end); of
+    starts, or to its stored last day if ``end`` names one that is earlier; of
     several that start on one day the last counts. Facts before the
     first version, or without a key or day, get nulls. ``key`` is the column
     name on both sides.
@@ -97,7 +105,10 @@ def with_version_in_force(
         )
     )
     calendar = Window.partitionBy("_key").orderBy("_from")
-    until = F.date_add(F.to_date("_end.last"), 1) if end else F.lead("_from").over(calendar)
+    until = F.lead("_from").over(calendar)
+    if end:
+        # Stored ends may overlap or be open; the next start ends a version in any case.
+        until = F.least(F.date_add(F.to_date("_end.last"), 1), until)
     valid = started.withColumn("_until", until).withColumn("_spread_key", F.lit(0).cast("bigint"))
     rows = facts.withColumn("_spread", spread_nulls(facts, key)).withColumn("_day", F.to_date(on))
     hit = (
