@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratoform.catalog.cleansing import silver
 from stratoform.catalog.registry import query
-from stratoform.catalog.sql import with_tables
+from stratoform.catalog.sql import tables, with_tables
 from stratoform.functions.dates import day_before
 from stratoform.model import views
+from stratoform.operators.keys import KeyRegistry
 from stratoform.operators.latest import latest_per_key
 from stratoform.operators.numbering import with_row_numbers
 from stratoform.operators.versions import with_next_start, with_version_in_force
 from stratoform.plans import gold
+from stratoform.session import scratch_path, stage
 from stratoform.sources.files import count_tables, preview
 
 
@@ -99,6 +103,58 @@ def surrogate_key_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_row_numbers(products, ["prd_start_dt", "prd_key", "prd_id"], "product_key")
 
 
+@query(
+    "surrogate_keys_that_last",
+    """SELECT row_number() OVER (ORDER BY c_custkey % 3 = 1, c_custkey) AS customer_key, c_custkey AS customer_id
+       FROM customer""",
+)
+def surrogate_keys_that_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys after a load of two thirds of the customers, one of all, and a repeated one."""
+    keys = KeyRegistry(scratch_path(spark, "customer-keys"), ("customer_id",), "customer_key")
+    customers = views.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    for load in (customers.where("customer_id % 3 <> 1"), customers, customers):
+        keys.assign(load)
+    return keys.read(spark)
+
+
+_LASTING = """product_keys AS (
+                  SELECT row_number() OVER (ORDER BY product_id % 2 = 1, start_date, product_number, product_id) AS lasting_key, *
+                  FROM gold_products),
+              customer_keys AS (
+                  SELECT row_number() OVER (ORDER BY customer_id % 3 = 1, customer_id) AS lasting_key, * FROM gold_customers),
+              loads AS (SELECT *, coalesce(sls_order_dt >= DATE '1996-01-01', true) AS late FROM silver_sales)"""
+
+
+@query(
+    "fact_sales_with_lasting_keys",
+    f"""{tables("silver_sales", "gold_products", "gold_customers")}, {_LASTING}
+        SELECT sls_ord_num AS order_number, p.lasting_key AS product_key, c.lasting_key AS customer_key,
+               sls_order_dt AS order_date, sls_ship_dt AS shipping_date, sls_due_dt AS due_date,
+               sls_sales AS sales_amount, sls_quantity AS quantity, sls_price AS unit_price
+        FROM loads LEFT JOIN product_keys p ON sls_prd_key = product_number AND start_date <= sls_order_dt
+                  AND (end_date IS NULL OR sls_order_dt <= end_date) AND (late OR product_id % 2 = 0)
+             LEFT JOIN customer_keys c ON sls_cust_id = customer_id AND (late OR customer_id % 3 <> 1)""",
+)
+def fact_sales_with_lasting_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of two loads, each stored with the keys of its time; the first knows half the products."""
+    keys = gold.GoldKeys(scratch_path(spark, "gold-keys"))
+    names = ("crm_cust_info", "erp_cust_az12", "erp_loc_a101", "crm_prd_info", "erp_px_cat_g1v2", "crm_sales_details")
+    clean = {name: stage(silver(spark, sf_dir, name), name) for name in names}
+    late = F.coalesce(F.col("sls_order_dt") >= F.lit(dt.date(1996, 1, 1)), F.lit(True))
+    first = clean | {
+        "crm_cust_info": clean["crm_cust_info"].where("cst_id % 3 <> 1"),
+        "crm_prd_info": clean["crm_prd_info"].where("prd_id % 2 = 0"),
+        "crm_sales_details": clean["crm_sales_details"].where(~late),
+    }
+    loaded = []
+    for load in (first, clean | {"crm_sales_details": clean["crm_sales_details"].where(late)}):
+        keys.assign(load)
+        dimensions = gold.build_dimensions(load, keys)
+        facts = gold.fact_sales_as_of(load["crm_sales_details"], dimensions["dim_products"], dimensions["dim_customers"])
+        loaded.append(stage(facts, "facts"))
+    return loaded[0].unionByName(loaded[1])
+
+
 def gold_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_customers(
         *[silver(spark, sf_dir, t) for t in ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")]

@@ -8,17 +8,50 @@ by the adaptive skew join.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratoform.functions.codes import merged_gender
+from stratoform.operators.keys import KeyRegistry
 from stratoform.operators.numbering import with_row_numbers
 from stratoform.operators.versions import with_version_in_force
 
 
-def dim_customers(customers: DataFrame, erp: DataFrame, locations: DataFrame) -> DataFrame:
-    """Customers with birth date, merged gender and country, numbered by id."""
+@dataclass(frozen=True)
+class GoldKeys:
+    """Where the keys of the dimensions are kept from one load to the next."""
+
+    path: str
+
+    @property
+    def customers(self) -> KeyRegistry:
+        return KeyRegistry(f"{self.path}/customer_keys", ("customer_id",), "customer_key")
+
+    @property
+    def products(self) -> KeyRegistry:
+        """Of product versions."""
+        return KeyRegistry(f"{self.path}/product_keys", ("product_id",), "product_key")
+
+    def assign(self, silver: Mapping[str, DataFrame]) -> dict[str, int]:
+        """Gives keys to the members that have none yet, once for each load; how many were new."""
+        customers = silver["crm_cust_info"].select(F.col("cst_id").alias("customer_id"))
+        products = silver["crm_prd_info"].withColumn("product_id", F.col("prd_id"))
+        return {
+            "dim_customers": self.customers.assign(customers),
+            "dim_products": self.products.assign(products, ["prd_start_dt", "prd_key"]),
+        }
+
+
+def dim_customers(
+    customers: DataFrame, erp: DataFrame, locations: DataFrame, keys: KeyRegistry | None = None
+) -> DataFrame:
+    """Customers with birth date, merged gender and country.
+
+    Their keys are those of the registry, or else their places by id, which
+    other members may change.
+    """
     joined = (
         customers.join(erp, customers["cst_key"] == erp["cid"], "left")
         .join(locations, customers["cst_key"] == locations["cid"], "left")
@@ -34,11 +67,11 @@ def dim_customers(customers: DataFrame, erp: DataFrame, locations: DataFrame) ->
             F.col("cst_create_date").alias("create_date"),
         )
     )
-    return with_row_numbers(joined, ["customer_id"], "customer_key")
+    return keys.keyed(joined) if keys else with_row_numbers(joined, ["customer_id"], "customer_key")
 
 
-def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
-    """Product versions with their category, numbered by start date and key."""
+def dim_products(products: DataFrame, categories: DataFrame, keys: KeyRegistry | None = None) -> DataFrame:
+    """Product versions with their category; keys as for customers, else by start date and key."""
     joined = products.join(categories, products["cat_id"] == categories["id"], "left").select(
         F.col("prd_id").alias("product_id"),
         F.col("prd_key").alias("product_number"),
@@ -52,6 +85,8 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
         F.col("prd_start_dt").alias("start_date"),
         F.col("prd_end_dt").alias("end_date"),
     )
+    if keys:
+        return keys.keyed(joined)
     return with_row_numbers(joined, ["start_date", "product_number", "product_id"], "product_key")
 
 
@@ -103,9 +138,18 @@ def fact_sales_as_of(sales: DataFrame, products: DataFrame, customers: DataFrame
     return _fact_columns(placed.join(buyers, placed["sls_cust_id"] == buyers["customer_id"], "left"))
 
 
-def build_gold(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    customers = dim_customers(silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"])
-    products = dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"])
+def build_dimensions(silver: Mapping[str, DataFrame], keys: GoldKeys | None = None) -> dict[str, DataFrame]:
+    return {
+        "dim_customers": dim_customers(
+            silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"], keys and keys.customers
+        ),
+        "dim_products": dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"], keys and keys.products),
+    }
+
+
+def build_gold(silver: Mapping[str, DataFrame], keys: GoldKeys | None = None) -> dict[str, DataFrame]:
+    """The star; with ``keys``, whose members ``GoldKeys.assign`` has seen, old facts stay right."""
+    customers, products = build_dimensions(silver, keys).values()
     return {
         "dim_customers": customers,
         "dim_products": products,

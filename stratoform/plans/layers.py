@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from stratoform.model.schemas import DeclaredTable
-from stratoform.plans.gold import dim_customers, dim_products, fact_sales
+from stratoform.plans.gold import GoldKeys, build_dimensions, fact_sales
 from stratoform.plans.silver import TRANSFORMS
 from stratoform.sources.files import count_tables
 
@@ -33,26 +33,21 @@ def refresh(
     bronze: str = "bronze",
     silver: str = "silver",
     gold: str = "gold",
+    keys: GoldKeys | None = None,
 ) -> DataFrame:
     """Rebuild silver from bronze and gold from silver; returns the row counts.
 
+    With ``keys`` a member has the same surrogate key after each refresh.
+
     Each table is computed and written once, and the next one reads it as
     stored. Counting reads file footers.
     """
     raw = read_layer(spark, TRANSFORMS, bronze)
     cleaned = {name: TRANSFORMS[name](df, batch_time) for name, df in raw.items()}
     clean = save_layer(spark, "silver", cleaned, silver)
-    dimensions = save_layer(
-        spark,
-        "gold",
-        {
-            "dim_customers": dim_customers(
-                clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"]
-            ),
-            "dim_products": dim_products(clean["crm_prd_info"], clean["erp_px_cat_g1v2"]),
-        },
-        gold,
-    )
+    if keys:
+        keys.assign(clean)
+    dimensions = save_layer(spark, "gold", build_dimensions(clean, keys), gold)
     facts = fact_sales(clean["crm_sales_details"], dimensions["dim_products"], dimensions["dim_customers"])
     stored = save_layer(spark, "gold", {"fact_sales": facts}, gold)
     counted = {f"{silver}.{n}": df for n, df in clean.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,49 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(hadoop, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, in order; none if it is absent."""
+    files, hadoop = _hadoop(spark, path)
+    if not files.exists(hadoop):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(hadoop) if status.isFile())
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small text file, read by the driver."""
+    files, hadoop = _hadoop(spark, path)
+    opened = files.open(hadoop)
+    try:
+        return bytes(opened.readAllBytes()).decode()
+    finally:
+        opened.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file whole under a name that nobody has taken; False if somebody has.
+
+    The text is written under another name first, so no reader sees half of it.
+    Distributed file systems refuse to rename onto an existing file; a local
+    one would replace it, so there the name is taken by a hard link.
+    """
+    files, hadoop = _hadoop(spark, path)
+    files.mkdirs(hadoop.getParent())
+    _, draft = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    out = files.create(draft, False)
+    out.write(text.encode())
+    out.close()
+    local = files.resolvePath(draft).toUri()
+    try:
+        if local.getScheme() != "file":
+            return not files.exists(hadoop) and files.rename(draft, hadoop)
+        os.link(local.getPath(), local.getPath().rsplit("/", 1)[0] + "/" + hadoop.getName())
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        files.delete(draft, False)
+
+
 def _remove_at_end(spark: SparkSession, root: str) -> None:
     with contextlib.suppress(Exception):  # the session may have ended before
         remove(spark, root)

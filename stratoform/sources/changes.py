@@ -12,12 +12,11 @@ from pyspark.sql import functions as F
 
 from stratoform.functions.dates import instant
 from stratoform.operators.latest import latest_per_key, upsert_latest
-from stratoform.session import is_there, remove
+from stratoform.session import remove
+from stratoform.sources.commits import CommitLog, Entry, State
 
 WINDOW = dt.timedelta(days=1)
 
-_LOG = "version bigint, kind string, folder string, since timestamp_ntz"
-
 
 def newest(df: DataFrame, change_time: str) -> dt.datetime | None:
     """Largest change time, one value; the watermark of the next extraction."""
@@ -39,6 +38,17 @@ def _same(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> Column:
     return reduce(Column.__and__, (left[k].eqNullSafe(right[k]) for k in keys))
 
 
+def _wins(change: str, row: str, newest_by: tuple[str, ...], others: list[str]) -> Column:
+    """Whether the change goes before the row it meets: the order of ``latest_per_key``."""
+    wins = F.lit(False)
+    for name in reversed([*newest_by, *others]):
+        own, old = F.col(f"{change}.{name}"), F.col(f"{row}.{name}")
+        first = own > old if name in newest_by else own < old
+        better = own.isNotNull() & (old.isNull() | F.coalesce(first, F.lit(False)))
+        wins = F.when(better, True).when(own.eqNullSafe(old), wins).otherwise(False)
+    return wins
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """Parquet table that holds the newest row of each key.
@@ -46,9 +56,13 @@ class KeyedTable:
     A full load writes a folder of its own; changes are written as they come,
     one small folder each, and merged when the table is read, so a change costs
     what it holds and not what the table holds. After ``max_deltas`` of them
-    the merged rows become the new base. A small log names the folders that
-    count; a line is added when its folder is complete, so readers never see a
-    half-written load, and a failed one leaves the table as it was.
+    the merged rows become the new base. A commit names a folder when it is
+    complete, so readers never see a half-written load, and a failed one leaves
+    the table as it was. Loads that run at the same time are committed one
+    after the other; both count.
+
+    The last ``kept`` versions, by default ``max_deltas`` of them, can be read, and
+    the rows that changed between two of them can be had with signs.
 
     Without keys the table is append-only by time: changes replace all rows
     from a point in time on (``newest_by[0]``), undated ones included.
@@ -58,71 +72,96 @@ class KeyedTable:
     keys: tuple[str, ...]
     newest_by: tuple[str, ...]
     max_deltas: int = 8
+    kept: int | None = None
 
-    def _log(self, spark: SparkSession) -> list:
-        """The lines in order: the last base and the changes after it; none if there is no table."""
-        if not is_there(spark, f"{self.path}/_log"):
-            return []
-        lines = spark.read.schema(_LOG).parquet(f"{self.path}/_log").collect()
-        lines.sort(key=lambda line: line.version)
-        last = max((i for i, line in enumerate(lines) if line.kind == "base"), default=0)
-        return lines[last:]
-
-    def _add(self, df: DataFrame, kind: str, since: dt.datetime | None = None) -> None:
-        spark = df.sparkSession
-        lines = self._log(spark)
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.path, self.max_deltas if self.kept is None else self.kept)
+
+    def version(self, spark: SparkSession) -> int:
+        """The number of the newest commit; -1 if there is none."""
+        return self.log.state(spark).version
+
+    def _put(self, df: DataFrame, kind: str, since: dt.datetime | None = None) -> State:
         folder = f"{kind}-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{folder}")
-        version = lines[-1].version + 1 if lines else 0
-        line = spark.createDataFrame([(version, kind, folder, since)], _LOG)
-        line.coalesce(1).write.mode("append").parquet(f"{self.path}/_log")
-        if kind == "base":
-            self._forget(spark, [line.folder for line in lines])
-
-    def _forget(self, spark: SparkSession, replaced: list[str]) -> None:
-        """Removes folders older than the state just replaced, which may still be read."""
-        lines = spark.read.schema(_LOG).parquet(f"{self.path}/_log").collect()
-        lines.sort(key=lambda line: line.version)
-        for line in lines[:-1]:
-            if line.folder not in replaced:
-                remove(spark, f"{self.path}/{line.folder}")
+
+        def entry(state: State) -> Entry:
+            upto = state.version if kind == "base" else None
+            return Entry(0, kind, folder, upto, since and since.isoformat())
+
+        return self.log.commit(df.sparkSession, entry)
 
     def exists(self, spark: SparkSession) -> bool:
         """Whether a load has put at least one row there."""
-        return bool(self._log(spark)) and not self.read(spark).isEmpty()
+        state = self.log.state(spark)
+        return state.version >= 0 and not self._rows(spark, state).isEmpty()
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        lines = self._log(spark)
-        if not lines:
+    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """The rows now, or as they were after commit ``version``."""
+        state = self.log.state(spark, version)
+        if state.version < 0:
             raise ValueError(f"no table at {self.path}")
-        base, *deltas = (spark.read.parquet(f"{self.path}/{line.folder}") for line in lines)
-        if not deltas:
-            return base
-        if not self.keys:
-            for line, delta in zip(lines[1:], deltas, strict=True):
-                at = F.col(self.newest_by[0])
-                kind = base.schema[self.newest_by[0]].dataType
-                base = base.where(at < instant(line.since, kind)).unionByName(delta)
-            return base
-        changes = latest_per_key(reduce(DataFrame.unionByName, deltas), self.keys, self.newest_by)
-        touched = changes.select(*self.keys)
-        met = base.join(touched, _same(base, touched, self.keys), "left_semi")
-        rest = base.join(touched, _same(base, touched, self.keys), "left_anti")
-        return rest.unionByName(upsert_latest(met, changes, self.keys, self.newest_by))
+        return self._rows(spark, state)
+
+    def _rows(self, spark: SparkSession, state: State) -> DataFrame:
+        rows = spark.read.parquet(f"{self.path}/{state.base.folder}") if state.base else None
+        waiting: list[DataFrame] = []
+        for change in state.changes:
+            part = spark.read.parquet(f"{self.path}/{change.folder}")
+            if not self.keys:
+                rows = part if rows is None else self._from(rows, dt.datetime.fromisoformat(change.since)).unionByName(part)
+            elif change.kind == "delete":
+                rows, waiting = self._merged(rows, waiting), []
+                if rows is not None:
+                    rows = rows.join(part, _same(rows, part, self.keys), "left_anti")
+            else:
+                waiting.append(part)
+        return self._merged(rows, waiting)
+
+    def _from(self, rows: DataFrame, since: dt.datetime) -> DataFrame:
+        return rows.where(F.col(self.newest_by[0]) < instant(since, rows.schema[self.newest_by[0]].dataType))
+
+    def _merged(self, rows: DataFrame | None, parts: list[DataFrame]) -> DataFrame | None:
+        """The rows after the changes: each meets the change of its key, and changes that meet none are added."""
+        if not parts:
+            return rows
+        changes = latest_per_key(reduce(DataFrame.unionByName, parts), self.keys, self.newest_by)
+        if rows is None:
+            return changes
+        columns = rows.columns
+        others = [c for c in columns if c not in {*self.keys, *self.newest_by}]
+        old = rows.select(F.struct(*columns).alias("_old"), *self.keys)
+        new = changes.select(F.struct(*columns).alias("_new"), *self.keys)
+        met = old.join(new, _same(old, new, self.keys), "left")
+        newer = F.col("_new").isNotNull() & _wins("_new", "_old", self.newest_by, others)
+        current = met.select(F.when(newer, F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
+        known = rows.select(*self.keys)
+        return current.unionByName(changes.join(known, _same(changes, known, self.keys), "left_anti"))
 
     def publish(self, spark: SparkSession, name: str) -> None:
         """Catalog view of that name over the rows, after merging what is not merged."""
-        if len(self._log(spark)) > 1:
+        state = self.log.state(spark)
+        while state.changes or state.base is None:
             self.compact(spark)
-        folder = self._log(spark)[0].folder
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{self.path}/{folder}`")
+            state = self.log.state(spark)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{self.path}/{state.base.folder}`")
 
     def compact(self, spark: SparkSession) -> None:
-        self._add(self.read(spark), "base")
+        """Writes the merged rows as the base; changes that are committed meanwhile stay in force after it."""
+        state = self.log.state(spark)
+        folder = f"merged-{uuid.uuid4().hex}"
+        self._rows(spark, state).write.parquet(f"{self.path}/{folder}")
+        # A base that another writer put there meanwhile is newer than what was read here.
+        after = self.log.commit(
+            spark, lambda now: Entry(0, "merged", folder, state.version) if now.base == state.base else None
+        )
+        if folder not in after.folders():
+            remove(spark, f"{self.path}/{folder}")
 
     def replace(self, df: DataFrame) -> None:
         """Full load: these rows and no others."""
-        self._add(latest_per_key(df, self.keys, self.newest_by) if self.keys else df, "base")
+        self._put(latest_per_key(df, self.keys, self.newest_by) if self.keys else df, "base")
 
     def upsert(self, changes: DataFrame, since: dt.datetime | None = None) -> None:
         """Merge ``changes``; running it again changes nothing.
@@ -130,10 +169,37 @@ class KeyedTable:
         Without keys ``changes`` are all rows from ``since`` on and all undated ones.
         """
         if self.keys:
-            self._add(latest_per_key(changes, self.keys, self.newest_by), "delta")
+            state = self._put(latest_per_key(changes, self.keys, self.newest_by), "delta")
         elif since is None:
             raise ValueError("a table without keys needs the time from which its rows are replaced")
         else:
-            self._add(changes, "delta", since)
-        if len(self._log(changes.sparkSession)) > self.max_deltas:
+            state = self._put(changes, "delta", since)
+        if len(state.changes) > self.max_deltas:
             self.compact(changes.sparkSession)
+
+    def delete(self, gone: DataFrame) -> None:
+        """Removes the rows of the keys in ``gone``; a later load of a key puts it back."""
+        if not self.keys:
+            raise ValueError("a table without keys has no rows to name")
+        state = self._put(gone.select(*self.keys).distinct(), "delete")
+        if len(state.changes) > self.max_deltas:
+            self.compact(gone.sparkSession)
+
+    def changes_between(self, spark: SparkSession, before: int, after: int, sign: str = "weight") -> DataFrame:
+        """The rows that went (``sign`` -1) and came (1) from one version to another.
+
+        Only keys that a commit in between names are looked at, unless one of
+        them replaced the table. A corrected row is there twice, an unchanged one
+        not at all, and the signed rows added to the old ones give the new ones.
+        """
+        entries = self.log.entries(spark, before, after)
+        sides = [self.read(spark, v).withColumn(sign, F.lit(w)) for v, w in ((before, -1), (after, 1))]
+        if self.keys and not any(e.kind == "base" for e in entries):
+            folders = [f"{self.path}/{e.folder}" for e in entries if e.kind != "merged"]
+            if not folders:
+                return sides[1].limit(0)
+            touched = reduce(DataFrame.unionByName, (spark.read.parquet(f).select(*self.keys) for f in folders)).distinct()
+            sides = [side.join(touched, _same(side, touched, self.keys), "left_semi") for side in sides]
+        both = sides[0].unionByName(sides[1])
+        columns = [c for c in both.columns if c != sign]
+        return both.groupBy(*columns).agg(F.sum(sign).cast("int").alias(sign)).where(F.col(sign) != 0)
