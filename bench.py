@@ -112,7 +112,7 @@ def main() -> None:
     customers = views.dim_customers(spark, SF_DIR).select("customer_id")
     prepared("buyer_filter", lambda: BloomFilter.build(headers, "customer_id", customers.count()).stored())
     prepared("buyer_counts", lambda: CountMin.build(headers, "customer_id", width=4000).stored())
-    prepared("daily_zones", lambda: summary_queries.mv_daily_enhanced(spark, SF_DIR))
+    prepared("daily_zones", lambda: summary_queries.stored_star(spark, SF_DIR))
     prepared("customer_summary", lambda: summary_queries.customer_enhanced(spark, SF_DIR))
     buyers = views.buyers(spark, SF_DIR).join(views.sales(spark, SF_DIR), "sale_id")
     by_day = distinct.sketches(buyers, F.col("customer_id"), ["sale_date"])
@@ -139,7 +139,7 @@ def main() -> None:
         "semi_join_base": lambda: run(semi_join()),
         "semi_join_bloom": lambda: run(bloom_join()),
         "zones_base": lambda: run(daily_region_sales(spark, SF_DIR)),
-        "zones_pruned": lambda: run(summary_queries.pruned_daily(spark, SF_DIR, ready["daily_zones"])),
+        "zones_pruned": lambda: run(summary_queries.zone_pruned_daily(spark, SF_DIR)),
         "exists_base": lambda: run(
             sales_plans.lookup(customers, "customer_id", sales_plans.totals(buyers, "customer_id"))
         ),

@@ -9,6 +9,7 @@ from stratoform.catalog.registry import REGIONS, SINCE, query
 from stratoform.catalog.sql import mean, with_tables
 from stratoform.model import views
 from stratoform.plans import sales as plans
+from stratoform.session import stage
 
 
 def recent_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,7 +220,8 @@ def semi_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def point_lookup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers looked up by id; every second id is unknown."""
     known = target_customers(spark, sf_dir)
-    probes = known.unionByName(unknown_ids(known, "customer_id"))
+    # Stored, as several branches ask for them.
+    probes = stage(known.unionByName(unknown_ids(known, "customer_id")), "probes")
     headers = plans.having_row(views.buyers(spark, sf_dir), probes, "customer_id")
     return plans.lookup(probes, "customer_id", views.totals_of_buyers(views.sales(spark, sf_dir), headers))
 

@@ -5,17 +5,21 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratoform.catalog.analytics import DAILY, DAILY_REGION, recent_sales
+from stratoform.catalog.analytics import DAILY, DAILY_REGION
 from stratoform.catalog.registry import REGIONS, SINCE, query
 from stratoform.catalog.sql import mean, with_tables
 from stratoform.model import views
 from stratoform.plans import sales as sales_plans
 from stratoform.plans import summaries as plans
+from stratoform.plans.answers import Answers, Condition, Question, cuboids_of
 from stratoform.session import scratch_path, stage
+from stratoform.sources.changes import KeyedTable
+from stratoform.sources.partitioned import MonthlyTable
 
 
 def stored(spark: SparkSession, name: str, df: DataFrame, *sort_by: str) -> DataFrame:
@@ -52,11 +56,52 @@ def refreshed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return store.read(summary.name)
 
 
+def corrected(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A summary of wrong sales, mended by the signed changes of the sales table.
+
+    The table first has wrong days, buyers, products and amounts, lines that do
+    not exist and no recent sales. A load corrects and adds, another one
+    deletes; the summary takes the difference of the two versions, twice.
+    """
+    inputs = {"customers": views.dim_customers(spark, sf_dir), "products": views.dim_products(spark, sf_dir)}
+    sales = views.sales_with_customer(spark, sf_dir)
+    # A sale may have several lines of one number; they are told apart by their place.
+    alike = Window.partitionBy("sale_id", "line_number").orderBy(*[c for c in sales.columns if c not in ("sale_id", "line_number")])
+    right = stage(sales.withColumns({"place": F.row_number().over(alike), "loaded": F.lit(2)}), "right")
+    odd = F.col("sale_id") % 10 == 3
+    wrong = right.where((F.col("sale_date") < F.lit(SINCE)) | odd).withColumns(
+        {
+            "loaded": F.lit(1),
+            "sale_date": F.when(odd, F.date_sub("sale_date", 400)).otherwise(F.col("sale_date")),
+            "customer_id": F.when(odd, F.col("customer_id") + 1).otherwise(F.col("customer_id")),
+            "product_id": F.when(odd, F.col("product_id") % 7).otherwise(F.col("product_id")),
+            "quantity": F.when(odd, F.col("quantity") + 3).otherwise(F.col("quantity")),
+        }
+    )
+    extra = right.where("sale_id % 13 = 5").withColumns({"line_number": F.col("line_number") + 100, "loaded": F.lit(1)})
+    table = KeyedTable(scratch_path(spark, "sales"), ("sale_id", "line_number", "place"), ("loaded",))
+    table.replace(wrong.unionByName(extra))
+    store = plans.SummaryStore(spark, scratch_path(spark, "summaries"), temporary=True)
+    summary = replace(plans.summaries()[name], name=f"{name}_{uuid.uuid4().hex}")
+    store.create(summary, inputs | {"sales": table.read(spark)})
+    before = table.version(spark)
+    table.upsert(right.where((F.col("sale_date") >= F.lit(SINCE)) | odd))
+    table.delete(extra)
+    changes = stage(table.changes_between(spark, before, table.version(spark)), "changes")
+    for _ in range(2):
+        store.refresh_incremental(summary.name, inputs | {"sales": changes}, batch="corrections")
+    return store.read(summary.name)
+
+
 def _register_refresh(suffix: str, name: str, sql: str) -> None:
     @query(f"mv_refresh_{suffix}", sql)
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         return refreshed(spark, sf_dir, name)
 
+    @query(f"mv_corrected_{name.removeprefix('mv_')}", sql)
+    def mended(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return corrected(spark, sf_dir, name)
+
 
 _register_refresh("incremental", "mv_daily_sales", _DAILY_VIEW)
 
@@ -221,18 +266,90 @@ def range_join_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.zone_totals(daily, sales_plans.in_regions(views.dim_customers(spark, sf_dir), REGIONS))
 
 
-def pruned_daily(spark: SparkSession, sf_dir: str, daily: DataFrame) -> DataFrame:
-    """Recent sales by day and region, with days skipped by a stored daily summary."""
-    wanted = sales_plans.in_regions(views.dim_customers(spark, sf_dir), REGIONS)
-    buyers = views.buyers(spark, sf_dir)
-    return plans.zone_pruned_daily(
-        plans.daily_since(daily, SINCE),
-        recent_sales(spark, sf_dir),
-        wanted,
-        lambda lines: views.located_sales(lines, buyers, wanted, "region"),
-    )
+_STORED: dict[tuple[str, str], tuple[MonthlyTable, str]] = {}
+
+
+def stored_star(spark: SparkSession, sf_dir: str) -> tuple[MonthlyTable, DataFrame]:
+    """The fact by month and the daily summary, as a warehouse has them; the application's first call writes them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        fact = MonthlyTable(scratch_path(spark, "fact-by-month"), "sale_date")
+        columns = ["sale_date", "customer_id", "quantity", "unit_price", "net_amount"]
+        fact.write(views.sales_with_customer(spark, sf_dir).select(*columns), "customer_id")
+        path = scratch_path(spark, "daily-zones")
+        stage(plans.daily_enhanced(views.sales_with_customer(spark, sf_dir), views.sales(spark, sf_dir)), "", path)
+        _STORED[key] = fact, path
+    fact, path = _STORED[key]
+    return fact, spark.read.parquet(path)
 
 
 @query("zone_pruned_daily", DAILY_REGION)
 def zone_pruned_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pruned_daily(spark, sf_dir, daily_enhanced(spark, sf_dir))
+    """Recent sales by day and region, with days skipped by the stored daily summary, and months by the days."""
+    fact, daily = stored_star(spark, sf_dir)
+    wanted = sales_plans.in_regions(views.dim_customers(spark, sf_dir), REGIONS)
+    return plans.zone_pruned_daily(plans.daily_since(daily, SINCE), wanted, fact, SINCE)
+
+
+def answers(spark: SparkSession, sf_dir: str) -> Answers:
+    """The six summaries, stored, and the sales behind them."""
+    customers, products = views.dim_customers(spark, sf_dir), views.dim_products(spark, sf_dir)
+    inputs = {"sales": views.sales_with_customer(spark, sf_dir), "customers": customers, "products": products}
+    store = plans.SummaryStore(spark, scratch_path(spark, "summaries"), temporary=True)
+    names = {}
+    for name, summary in plans.summaries().items():
+        names[name] = f"{name}_{uuid.uuid4().hex}"
+        store.create(replace(summary, name=names[name]), inputs)
+    attributes = {"customer_id": customers, "product_id": products.select("product_id", "product_name", "category_name")}
+    return Answers(inputs["sales"], attributes, cuboids_of(store, names))
+
+
+_RECENT = Condition("sale_date", low=SINCE)
+_QUESTIONS = {
+    "daily": Question(("total_sales", "total_revenue"), ("sale_date",), (_RECENT,)),
+    "monthly": Question(("total_sales", "total_revenue"), ("year", "month"), (_RECENT,)),
+    "segments": Question(("total_sales", "total_revenue", "unique_customers"), ("region", "gender")),
+    "recent": Question(("unique_customers",), (), (_RECENT,)),
+    "categories": Question(("total_quantity", "unique_customers"), ("category_name",)),
+    "across": Question(("total_sales", "unique_customers"), ("region", "category_name"), (_RECENT,)),
+}
+
+
+@query(
+    "answers_by_view",
+    with_tables(
+        """SELECT 'daily' AS question, CAST(sale_date AS VARCHAR) AS part, '' AS other, count(*) AS total_sales,
+                  CAST(sum(net_amount) AS DOUBLE) AS total_revenue, CAST(NULL AS BIGINT) AS members FROM recent GROUP BY sale_date
+           UNION ALL SELECT 'monthly', CAST(extract(year FROM sale_date) AS VARCHAR), CAST(extract(month FROM sale_date) AS VARCHAR),
+                  count(*), CAST(sum(net_amount) AS DOUBLE), NULL FROM recent GROUP BY 2, 3
+           UNION ALL SELECT 'segments', region, gender, count(*), CAST(sum(net_amount) AS DOUBLE), count(DISTINCT customer_id)
+                  FROM sales JOIN customers USING (customer_id) GROUP BY region, gender
+           UNION ALL SELECT 'recent', '', '', NULL, NULL, count(DISTINCT customer_id) FROM recent
+           UNION ALL SELECT 'categories', category_name, '', CAST(sum(quantity) AS BIGINT), NULL, count(DISTINCT customer_id)
+                  FROM sales JOIN products USING (product_id) GROUP BY category_name
+           UNION ALL SELECT 'across', region, category_name, count(*), NULL, count(DISTINCT customer_id)
+                  FROM recent JOIN customers USING (customer_id) JOIN products USING (product_id) GROUP BY region, category_name""",
+        "recent",
+        "customers",
+        "products",
+    ),
+)
+def answers_by_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six questions, each answered from the smallest summary that holds it; the last one no summary holds."""
+    known = answers(spark, sf_dir)
+    shown = []
+    for name, question in _QUESTIONS.items():
+        found = known.answer(question)
+        groups = [F.col(g).cast("string") for g in question.groups] + [F.lit("")] * (2 - len(question.groups))
+        of = lambda *names, q=question: next((F.col(n) for n in names if n in q.measures), F.lit(None))
+        shown.append(
+            found.select(
+                F.lit(name).alias("question"),
+                groups[0].alias("part"),
+                groups[1].alias("other"),
+                of("total_sales", "total_quantity").cast("bigint").alias("total_sales"),
+                of("total_revenue").cast("double").alias("total_revenue"),
+                of("unique_customers").cast("bigint").alias("members"),
+            )
+        )
+    return reduce(DataFrame.unionByName, shown)

@@ -11,32 +11,54 @@ import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratoform.functions.amounts import mean
 from stratoform.operators.zones import count_points_in_zones
 from stratoform.plans.sales import daily_by_region, totals
 from stratoform.session import remove, stage
+from stratoform.sources.partitioned import MonthlyTable
 
 # --- definitions -----------------------------------------------------------
 #
-# Each summary is shown from a state whose rows of disjoint sales can be added
-# up: totals per day, member, (day, member) or (customer, product). Distinct
-# members are counted as rows of the state, so they stay exact.
+# Each summary is shown from a state that is a sum over sales: totals per day,
+# member, (day, member), (customer, day) or (customer, product). A sale may have
+# a sign, -1 for one that is taken back, so a correction is two sales and a
+# deletion one. Days and members are counted multisets, rows of the state with
+# the number of their lines: what has no line left is gone, and so distinct
+# counts, smallest and largest ones stay exact when sales go.
 
 _SUMS = ("lines", "pieces", "net", "price_sum")
+#: 1 for a sale that is added, -1 for one that is taken back; sales without the column are added.
+SIGN = "weight"
+_MEASURES = {"pieces": "quantity", "net": "net_amount", "price_sum": "unit_price"}
+
+
+def signed_totals(sales: DataFrame, *keys: str | Column) -> DataFrame:
+    """Signed measures of ``totals``, and in ``…_n`` how many sales have the value that was summed."""
+    sign = F.col(SIGN) if SIGN in sales.columns else F.lit(1)
+    columns = [F.sum(sign).cast("bigint").alias("lines")]
+    for name, value in _MEASURES.items():
+        signed = (F.col(value) * sign).cast(sales.schema[value].dataType)
+        columns += [F.sum(signed).alias(name), F.sum(F.when(F.col(value).isNotNull(), sign)).cast("bigint").alias(f"{name}_n")]
+    return sales.groupBy(*keys).agg(*columns)
 
 
 def added(parts: DataFrame, *keys: str) -> DataFrame:
-    """States of disjoint sales put together; equal to the state of all of them."""
+    """States of signed sales put together; equal to the state of the sales that are left."""
     measures = [c for c in parts.columns if c not in keys]
-    pick = {"first_day": F.min, "last_day": F.max}
     # A sum of sums is wider by ten digits; the stored type stays the same.
-    whole = parts.groupBy(*keys).agg(*[pick.get(c, F.sum)(c).alias(c) for c in measures])
+    whole = parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures]).where("lines <> 0")
     return whole.select(*[F.col(c).cast(parts.schema[c].dataType).alias(c) for c in parts.columns])
 
 
+def left_over(state: DataFrame) -> DataFrame:
+    """The state's rows that have sales; a sum is null where none of them has the value."""
+    known = [F.when(F.col(f"{c}_n") > 0, F.col(c)).alias(c) if f"{c}_n" in state.columns else F.col(c) for c in state.columns]
+    return state.where("lines > 0").select(*known)
+
+
 def daily_sales(sales: DataFrame) -> DataFrame:
     return daily_sales_from(totals(sales, "sale_date"))
 
@@ -118,8 +140,8 @@ def daily_enhanced_from(members: DataFrame) -> DataFrame:
     return (
         members.groupBy("sale_date")
         .agg(
-            F.sum("lines").alias("total_sales"),
-            F.sum("net").cast(members.schema["net"].dataType).alias("total_revenue"),
+            F.sum(of("customer", "lines")).alias("total_sales"),
+            F.sum(of("customer", "net")).cast(members.schema["net"].dataType).alias("total_revenue"),
             *[F.count(of(kind, "member")).alias(f"unique_{kind}s") for kind in ("customer", "product")],
             *[
                 pick(of(kind, "member")).alias(f"{name}_{kind}_id")
@@ -143,6 +165,31 @@ def daily_enhanced_from(members: DataFrame) -> DataFrame:
     )
 
 
+def signed_day_members(sales: DataFrame) -> DataFrame:
+    """As ``day_members``, from signed sales: products with the number of their lines."""
+    by_customer = signed_totals(sales, F.lit("customer").alias("kind"), "sale_date", F.col("customer_id").alias("member"))
+    by_product = signed_totals(sales, F.lit("product").alias("kind"), "sale_date", F.col("product_id").alias("member"))
+    return by_customer.unionByName(by_product).select("kind", "sale_date", "member", "lines", "net", "net_n")
+
+
+def signed_customer_members(sales: DataFrame) -> DataFrame:
+    """A customer's products and days, as rows of one table; totals are with the products."""
+    products, days = F.lit("product").alias("kind"), F.lit("day").alias("kind")
+    by_product = signed_totals(sales, products, "customer_id", "product_id").select(
+        "kind", "customer_id", "product_id", F.lit(None).cast("date").alias("sale_date"), "lines", "net", "net_n"
+    )
+    by_day = signed_totals(sales, days, "customer_id", "sale_date").select(
+        "kind",
+        "customer_id",
+        F.lit(None).cast(sales.schema["product_id"].dataType).alias("product_id"),
+        "sale_date",
+        "lines",
+        "net",
+        "net_n",
+    )
+    return by_product.unionByName(by_day)
+
+
 def pair_totals(sales: DataFrame) -> DataFrame:
     """Totals and first and last day per customer and product.
 
@@ -173,6 +220,25 @@ def customer_enhanced_from(pairs: DataFrame, customers: DataFrame, segment: str
         F.min("product_id").alias("min_product_id"),
         F.max("product_id").alias("max_product_id"),
     )
+    return _customer_rows(by_customer, customers, segment)
+
+
+def customer_enhanced_of_members(members: DataFrame, customers: DataFrame, segment: str = "gender") -> DataFrame:
+    """As ``customer_enhanced_from``, from the multisets of ``signed_customer_members``."""
+    of_product = lambda c: F.when(F.col("kind") == "product", F.col(c))
+    by_customer = members.groupBy("customer_id").agg(
+        F.sum(of_product("lines")).alias("lines"),
+        F.sum(of_product("net")).alias("net"),
+        F.min("sale_date").alias("first_purchase_date"),
+        F.max("sale_date").alias("last_purchase_date"),
+        F.count("product_id").alias("unique_products"),
+        F.min("product_id").alias("min_product_id"),
+        F.max("product_id").alias("max_product_id"),
+    )
+    return _customer_rows(by_customer, customers, segment)
+
+
+def _customer_rows(by_customer: DataFrame, customers: DataFrame, segment: str) -> DataFrame:
     return _kept(customers, by_customer, "customer_id").select(
         "customer_id",
         "customer_name",
@@ -222,10 +288,10 @@ Inputs = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Summary:
-    """A named summary: its additive state from inputs, and the rows shown from a state.
+    """A named summary: its state from inputs with signed sales, and the rows shown from a state.
 
-    ``keys`` name a row of the state. ``show`` also gets the inputs, for the
-    attributes of members.
+    ``keys`` name a row of the state. ``show`` gets the rows that have sales, and
+    the inputs, for the attributes of members.
     """
 
     name: str
@@ -235,13 +301,12 @@ class Summary:
     sort_by: tuple[str, ...] = ()
 
     def build(self, inputs: Inputs) -> DataFrame:
-        return self.show(self.state(inputs), inputs)
+        return self.show(left_over(self.state(inputs)), inputs)
 
 
 def summaries() -> dict[str, Summary]:
     """The six summaries over the inputs ``sales`` (with customer), ``customers`` and ``products``."""
-    of = lambda *keys: lambda inputs: totals(inputs["sales"], *keys)
-    pairs = lambda inputs: pair_totals(inputs["sales"])
+    of = lambda *keys: lambda inputs: signed_totals(inputs["sales"], *keys)
     found = (
         Summary("mv_daily_sales", of("sale_date"), ("sale_date",), lambda s, _: daily_sales_from(s), ("sale_date",)),
         Summary(
@@ -255,20 +320,20 @@ def summaries() -> dict[str, Summary]:
         ),
         Summary(
             "mv_daily_enhanced",
-            lambda inputs: day_members(inputs["sales"]),
+            lambda inputs: signed_day_members(inputs["sales"]),
             ("kind", "sale_date", "member"),
             lambda s, _: daily_enhanced_from(s),
             ("sale_date",),
         ),
         Summary(
             "mv_customer_enhanced",
-            pairs,
-            ("customer_id", "product_id"),
-            lambda s, i: customer_enhanced_from(s, i["customers"]),
+            lambda inputs: signed_customer_members(inputs["sales"]),
+            ("kind", "customer_id", "product_id", "sale_date"),
+            lambda s, i: customer_enhanced_of_members(s, i["customers"]),
         ),
         Summary(
             "mv_product_enhanced",
-            pairs,
+            of("customer_id", "product_id"),
             ("customer_id", "product_id"),
             lambda s, i: product_enhanced_from(s, i["products"]),
         ),
@@ -305,7 +370,7 @@ class SummaryStore:
         self._publish(summary, summary.state(inputs), inputs, [batch], self._versions(name)[:1])
 
     def refresh_incremental(self, name: str, new_inputs: Inputs, batch: str) -> None:
-        """Add the sales of a batch, unless it is in already; reads none of the old ones."""
+        """Add the signed sales of a batch, unless it is in already; reads none of the old sales."""
         summary = self.defined[name]
         now = self._versions(name)
         batches = [r.batch for r in self.spark.read.parquet(f"{now[0]}/batches").where("batch is not null").collect()]
@@ -318,6 +383,10 @@ class SummaryStore:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
+    def state(self, name: str) -> DataFrame:
+        """The signed state behind the rows shown."""
+        return self.spark.read.parquet(f"{self._versions(name)[0]}/state")
+
     def _versions(self, name: str) -> list[str]:
         """The folder behind the view, and the one before it if there is one."""
         now = self.read(name).inputFiles()[0].rsplit("/rows/", 1)[0]
@@ -329,7 +398,7 @@ class SummaryStore:
     ) -> None:
         folder = f"{self.path}/{summary.name}/{uuid.uuid4().hex}"
         kept = stage(state, summary.name, f"{folder}/state")
-        df = summary.show(kept, inputs)
+        df = summary.show(left_over(kept), inputs)
         if summary.sort_by:
             df = df.repartitionByRange(*summary.sort_by).sortWithinPartitions(*summary.sort_by)
         stage(df, summary.name, f"{folder}/rows")
@@ -432,15 +501,19 @@ def zone_totals(daily: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def zone_pruned_daily(
-    daily: DataFrame, lines: DataFrame, customers: DataFrame, locate: Callable[[DataFrame], DataFrame]
+    daily: DataFrame, customers: DataFrame, fact: MonthlyTable, since: dt.date
 ) -> DataFrame:
-    """Sales per day and region, read only for days that can have any.
+    """Sales per day and region since a day, read only for days that can have any.
 
-    A day is skipped when no wanted customer's id lies in its id range. The
-    lines of skipped days go before ``locate`` joins the rest to the regions.
-    The rest is exact, so the result equals the query without the summary.
+    A day is skipped when no wanted customer's id lies in its id range, and a
+    month without any other day is not opened: the days, a row each, are
+    stored, and the scan of the fact takes its months from them. What is read
+    is joined to the regions exactly, so the result equals the query without
+    the summary.
     """
     zones = count_points_in_zones(
         daily, "sale_date", "min_customer_id", "max_customer_id", customers, None, "customer_id"
     )
-    return daily_by_region(locate(lines.join(zones.select("sale_date"), "sale_date", "left_semi")))
+    days = stage(zones.select("sale_date"), "days")
+    located = fact.read_days(days, since).join(customers.select("customer_id", "region"), "customer_id")
+    return daily_by_region(located)
