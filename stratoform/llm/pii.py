@@ -78,7 +78,7 @@ def _is_card(text: str) -> bool:
 def base_spans(text: str) -> list[list[Span]]:
     """The patterns' spans by kind; leftmost, not overlapping within a kind."""
     found = [_emails(text) if "@" in text else [], [], [], []]
-    found[1] = [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    found[1] = [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split("."))]
     found[2] = [m.span() for m in _CARD.finditer(text) if m.end() - m.start() > 12 and _is_card(m[0])]
     found[3] = [m.span() for m in _PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15] if "+" in text else []
     return found

@@ -148,3 +148,11 @@ def test_no_spans_to_learn_from(frame):
 def test_query(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     check(queries.op2_bilstm_crf(spark, sf_dir).collect(), texts)
+
+
+def test_numbers_longer_than_python_converts():
+    """A part of an address may have thousands of zeros; a long one that is too large is no part."""
+    zeros = "1.2.3." + "0" * 5000 + "4"
+    assert pii.base_spans(zeros)[1] == [(0, len(zeros))]
+    assert pii.base_spans("1.2.3." + "9" * 5000)[1] == []
+    assert pii.base_spans("0.0.0." + "0" * 5000)[1] == [(0, 5006)]
