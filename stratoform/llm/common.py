@@ -84,6 +84,22 @@ def record(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or one like it, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def alike(docs: DataFrame, keys: DataFrame) -> Column:
+    """Whether a row of ``docs`` has the doc_id and text of one of ``keys`` (doc_id, text_hash).
+
+    No column is added to ``docs``, whose own may have any name.
+    """
+    return docs["doc_id"].eqNullSafe(keys["doc_id"]) & (F.xxhash64(docs["text"]) == keys["text_hash"])
+
+
 def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Equality of the named columns, where null equals null."""
     return reduce(Column.__and__, (left[n].eqNullSafe(right[n]) for n in names))

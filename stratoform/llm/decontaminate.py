@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratoform.llm.common import binary, map_batches, record
+from stratoform.llm.common import alike, binary, map_batches, record
 
 WINDOW = 10
 #: Words of benchmark items that are shipped at once (about 60 MB with their table of numbers).
@@ -263,9 +263,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     Only ids and hashes of documents that go are moved to meet the texts.
     """
     bad = contamination(docs, benchmark, window).where("contaminated").select("doc_id", "text_hash").distinct()
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    gone = hashed["doc_id"].eqNullSafe(bad["doc_id"]) & (hashed["text_hash"] == bad["text_hash"])
-    return hashed.join(bad, gone, "left_anti").select(docs.columns)
+    return docs.join(bad, alike(docs, bad), "left_anti")
 
 
 def sha256_of(ids: Iterable[int]) -> str:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratoform.llm.common import same, words_of
+from stratoform.llm.common import alike, same, unused, words_of
 from stratoform.session import stage
 
 WEIGHTS = (1, 2, 3)
@@ -183,16 +183,21 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) ->
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with ``mix_taken`` and ``mix_parts`` beside their columns."""
+    """The rows of ``docs`` that the mix takes, with ``mix_taken`` and ``mix_parts`` beside their columns.
+
+    Columns of these two names in ``docs`` are from an earlier mix and are replaced.
+    """
     chosen = mixed(docs, block_words, seed).where("taken > 0")
     # Equal rows may be taken in different parts, so they are told apart by number.
-    number = Window.partitionBy("doc_id", "text_hash")
+    number = Window.partitionBy("doc_id", F.xxhash64("text"))
     chosen = chosen.select(
         "doc_id", "text_hash", F.col("taken").alias("mix_taken"), F.col("parts").alias("mix_parts")
     ).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("mix_taken", "mix_parts")), asc=False).alias("mix"))
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    hashed = hashed.withColumn("mix_row", F.row_number().over(number.orderBy("text_hash")))
-    joined = hashed.join(chosen, same(hashed, chosen, "doc_id", "text_hash")).select(
-        *[hashed[c] for c in docs.columns], F.get("mix", F.col("mix_row") - 1).alias("mix")
+    row, taken = unused(docs, "_row"), unused(docs, "_mix")
+    numbered = docs.withColumn(row, F.row_number().over(number.orderBy("text")))
+    joined = numbered.join(chosen, alike(numbered, chosen)).select(
+        *[numbered[c] for c in docs.columns], F.get(chosen["mix"], numbered[row] - 1).alias(taken)
     )
-    return joined.where("mix is not null").select(*docs.columns, "mix.mix_taken", "mix.mix_parts")
+    mixed_in = [F.col(taken)[c].alias(c) for c in ("mix_taken", "mix_parts")]
+    own = [F.col(c) for c in docs.columns if c not in ("mix_taken", "mix_parts")]
+    return joined.where(F.col(taken).isNotNull()).select(*own, *mixed_in)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratoform.llm.common import binary, components, map_batches, record, same
+from stratoform.llm.common import alike, binary, components, map_batches, record, unused
 from stratoform.session import stage
 
 SEED = 42
@@ -196,7 +196,7 @@ def keep_first(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
     chosen = classes.groupBy("root").agg(F.min(order).alias("one")).select("one.doc_id", "one.text_hash")
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    kept = hashed.join(chosen, same(hashed, chosen, "doc_id", "text_hash"), "left_semi")
-    first = Window.partitionBy("doc_id", "text_hash").orderBy("text")
-    return kept.withColumn("_first", F.row_number().over(first)).where("_first = 1").select(docs.columns)
+    kept = docs.join(chosen, alike(docs, chosen), "left_semi")
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
+    number = unused(docs, "_first")
+    return kept.withColumn(number, F.row_number().over(first)).where(F.col(number) == 1).drop(number)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratoform.llm import langid
-from stratoform.llm.common import map_batches, record
+from stratoform.llm.common import alike, map_batches, record
 
 TRAINING_TEXTS = 12_000
 THRESHOLD = 0.3
@@ -357,6 +357,4 @@ def scores(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
 def keep_clean(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic; only the ids of those that go are moved."""
     bad = scores(docs, scorer).where("predicted = 1").select("doc_id", "text_hash").distinct()
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    gone = hashed["doc_id"].eqNullSafe(bad["doc_id"]) & (hashed["text_hash"] == bad["text_hash"])
-    return hashed.join(bad, gone, "left_anti").select(docs.columns)
+    return docs.join(bad, alike(docs, bad), "left_anti")
