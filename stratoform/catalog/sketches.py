@@ -29,9 +29,10 @@ from stratoform.catalog.sql import (
 )
 from stratoform.functions.hashing import Hash
 from stratoform.model import views
-from stratoform.operators import distinct
+from stratoform.operators import distinct, frequent, setsketch
 from stratoform.operators.bloom import BloomFilter
 from stratoform.operators.countmin import CountMin
+from stratoform.operators.setsketch import SetOf
 from stratoform.plans import sales as sales_plans
 from stratoform.plans import sketches as plans
 from stratoform.session import stage
@@ -202,6 +203,75 @@ def hll_by_day_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimates.join(actual, "subset").select("subset", "actual", within(F.col("estimate"), F.col("actual")))
 
 
+# --- sets ------------------------------------------------------------------
+
+#: Wanted combination, and the test of a customer's two flags that says the same.
+_COMBINED = {
+    "recent and high value": (SetOf("recent") & SetOf("high value"), "recent AND high"),
+    "recent without high value": (SetOf("recent") - SetOf("high value"), "recent AND NOT high"),
+    "high value without recent": (SetOf("high value") - SetOf("recent"), "high AND NOT recent"),
+    "recent or high value": (SetOf("recent") | SetOf("high value"), "recent OR high"),
+}
+
+
+@query(
+    "theta_combinations",
+    tables("sales")
+    + """, flags AS (SELECT customer_id, bool_or(sale_date >= DATE '1998-01-01') AS recent, bool_or(net_amount > 100000) AS high
+                     FROM sales GROUP BY customer_id)
+    """
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS subset, CAST(count_if({test}) AS BIGINT) AS actual, true AS within_bound FROM flags"
+        for name, (_, test) in _COMBINED.items()
+    ),
+)
+def theta_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in both of two subsets, and in one without the other, from one sketch per day and value class."""
+    sales = views.sales_with_customer(spark, sf_dir)
+    recent, high = F.col("sale_date") >= F.lit(SINCE), F.col("net_amount") > 100_000
+    parts = setsketch.set_sketches(sales, F.col("customer_id"), ["sale_date", high.alias("high_value")])
+    estimates = setsketch.combined(
+        stage(parts, "customer-sets"),
+        {"recent": recent, "high value": F.col("high_value")},
+        {name: wanted for name, (wanted, _) in _COMBINED.items()},
+    )
+    flags = sales.groupBy("customer_id").agg(F.bool_or(recent).alias("recent"), F.bool_or(high).alias("high"))
+    counted = flags.agg(*[F.count_if(F.expr(test)).alias(name) for name, (_, test) in _COMBINED.items()])
+    pairs = [F.struct(F.lit(name).alias("subset"), F.col(f"`{name}`").alias("actual")) for name in _COMBINED]
+    actual = counted.select(F.inline(F.array(*pairs)))
+    off = F.abs(F.col("estimate") - F.col("actual")) <= F.col("most_off")
+    return estimates.join(actual, "subset").select("subset", "actual", off.alias("within_bound"))
+
+
+# --- frequent items --------------------------------------------------------
+
+#: In ten-thousandths of the lines.
+_HEAVY = 7
+
+
+def _heavy_sql(kind: str) -> str:
+    return f"""SELECT '{kind}' AS kind, {kind}_id AS item, count(*) AS actual, true AS bounds_hold FROM sales
+               GROUP BY {kind}_id HAVING count(*) * 10000 >= {_HEAVY} * (SELECT count(*) FROM sales)"""
+
+
+@query("heavy_hitters", with_tables(f"{_heavy_sql('customer')} UNION ALL {_heavy_sql('product')}", "sales"))
+def heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and products with many lines, listed from one sketch per day, and whether their bounds hold."""
+    sales = views.sales_with_customer(spark, sf_dir)
+    shown = []
+    for kind in ("customer", "product"):
+        item = F.col(f"{kind}_id")
+        parts = stage(frequent.frequent_sketches(sales, item, ["sale_date"]), f"frequent-{kind}")
+        listed = frequent.heavy_hitters(frequent.united(parts), _HEAVY / 10_000)
+        counts = sales.groupBy(item.alias("item")).agg(F.count(F.lit(1)).alias("actual"))
+        lines = parts.select(F.sum("n")).scalar()
+        counts = counts.where(F.col("actual") * 10_000 >= F.lit(_HEAVY) * lines)
+        hold = F.col("actual").between(F.col("at_least"), F.col("at_most"))
+        met = counts.join(listed, "item", "left")
+        shown.append(met.select(F.lit(kind).alias("kind"), "item", "actual", F.coalesce(hold, F.lit(False)).alias("bounds_hold")))
+    return shown[0].unionByName(shown[1])
+
+
 # --- Count-Min -------------------------------------------------------------
 
 
