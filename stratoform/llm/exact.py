@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratoform.llm.common import BLANKS, map_batches, ship
-from stratoform.session import remove, scratch_path
+from stratoform.session import remove, scratch_path, stage
 
 SLICE_ROWS = 1 << 24
 BITS_PER_ROW = 16
@@ -167,6 +167,8 @@ def _decided(docs: DataFrame, slice_rows: int) -> DataFrame:
     order = F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
     # A hot text is one row of each map task before it is shuffled.
     groups = maybe.groupBy("sha").agg(F.min(order).alias("one"), F.count(F.lit(1)).alias("group_size"))
+    # Written, so that the join is of two plain tables and Spark splits the rows of a hot text over tasks.
+    groups = stage(groups, "groups")
     repeated = maybe.join(groups, "sha").select(
         "doc_id", "n_chars", "sha", F.col("one.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("one.row")).alias("kept")
     )
