@@ -109,7 +109,7 @@ def probability(count: Column, total: Column, size: Column) -> Column:
 
 
 def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term, in_lang, pos): each language's kept terms, numbered from 0 so that equal columns are close."""
+    """(lang, term, in_lang, pos): the kept terms, numbered so that a language's are together and equal columns close."""
     of_term = counts.where("term <> ''").groupBy("lang", "term").agg(
         F.sum("n").alias("in_lang"),
         F.sum("docs").alias("docs"),
@@ -118,9 +118,7 @@ def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     )
     kept = of_term.where(F.col("docs") >= min_docs)
     order = ["lang", "sources", "in_lang", "signature", "term"]
-    numbered = with_row_numbers(kept, order, "number")
-    first = numbered.groupBy("lang").agg(F.min("number").alias("first"))
-    return numbered.join(first, "lang").select("lang", "term", "in_lang", (F.col("number") - F.col("first")).alias("pos"))
+    return with_row_numbers(kept, order, "pos").select("lang", "term", "in_lang", "pos")
 
 
 def runs(pos: np.ndarray, counts: np.ndarray, length: int, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,25 +141,22 @@ def difference(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.
 
 
 def _columns(cells: DataFrame, groups: DataFrame, block: int) -> DataFrame:
-    """(lang, source, tile, tiles, block, ends, p): each group's runs in each block of its language."""
-    blocks = F.sequence(F.lit(0).cast("long"), F.floor(F.greatest(F.col("size") - 1, F.lit(0)) / block))
-    marked = groups.select("lang", "source", F.explode(blocks).alias("block"), F.lit(None).cast("struct<at:int,n:bigint>").alias("cell"))
-    own = cells.select(
-        "lang",
-        "source",
-        F.floor(F.col("pos") / block).alias("block"),
-        F.struct((F.col("pos") % block).cast("int").alias("at"), "n").alias("cell"),
-    )
+    """(lang, source, tile, tiles, block, ends, p): each group's runs in each block with terms of its language."""
+    last = F.greatest(F.col("first"), F.col("first") + F.col("size") - 1)
+    blocks = F.sequence(F.floor(F.col("first") / block), F.floor(last / block))
+    marked = groups.select("lang", "source", F.explode(blocks).alias("block"), F.lit(None).cast("struct<pos:bigint,n:bigint>").alias("cell"))
+    own = cells.select("lang", "source", F.floor(F.col("pos") / block).alias("block"), F.struct("pos", "n").alias("cell"))
     # One row for each group and block: at most ``block`` cells are gathered.
     gathered = marked.unionByName(own).groupBy("lang", "source", "block").agg(F.collect_list("cell").alias("cells"))
     placed = gathered.join(groups, ["lang", "source"]).select(
-        "lang", "source", "tile", "tiles", "block", "total", "size", F.col("cells.at").alias("at"), F.col("cells.n").alias("n")
+        "lang", "source", "tile", "tiles", "block", "total", "size", "first", F.col("cells.pos").alias("pos"), F.col("cells.n").alias("n")
     )
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         ends, values = [], []
-        for b, total, size, at, n in zip(*(batch.column(i).to_pylist() for i in range(4, 9)), strict=True):
-            e, p = runs(np.array(at, np.int64), np.array(n, np.int64), min(block, size - b * block), total, size)
+        for b, total, size, first, pos, n in zip(*(batch.column(i).to_pylist() for i in range(4, 10)), strict=True):
+            start, stop = max(first, b * block), min(first + size, (b + 1) * block)
+            e, p = runs(np.array(pos, np.int64) - start, np.array(n, np.int64), stop - start, total, size)
             ends.append(e.tobytes())
             values.append(p.tobytes())
         kept = {name: batch.column(i) for i, name in enumerate(batch.schema.names[:5])}
@@ -220,7 +215,7 @@ def audit(
     counts = stage(term_counts(docs), "", path)
     kept = kept_terms(counts, min_docs)
     cells = stage(counts.where("term <> ''").join(kept, ["lang", "term"]).select("lang", "source", "term", "pos", "n", "in_lang"), "cells")
-    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("size"), F.sum("in_lang").alias("in_all"))
+    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("size"), F.sum("in_lang").alias("in_all"), F.min("pos").alias("first"))
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     of_lang = counts.where("term = ''").groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
     zero = F.lit(0).cast("long")
@@ -235,7 +230,7 @@ def audit(
             "source",
             "tiles",
             F.pmod(F.hash("source"), F.col("tiles")).alias("tile"),
-            *[F.coalesce(c, zero).alias(c) for c in ("total", "size", "in_all")],
+            *[F.coalesce(c, zero).alias(c) for c in ("total", "size", "in_all", "first")],
         )
     )
     groups = stage(groups, "groups")
