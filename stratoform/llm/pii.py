@@ -7,7 +7,15 @@ chain CRF with learned transitions scores tag sequences (nothing, or one of the
 four kinds). It reads every text whole, in windows of ``SIZE`` characters that
 overlap; each window is decoded by Viterbi, every character takes its tag from
 the window in whose middle it is, and spans are runs of a tag over the whole
-text. A tagger's span is added unless it meets one of the patterns' spans.
+text.
+
+What it adds are spellings that the patterns miss: it is trained on windows
+around the patterns' spans, once as they are and once with the span written
+otherwise (``disguised``: "(at)" and "dot", spaced or bracketed points, card
+numbers in other groups, phone numbers with 00 or slashes), and on what the
+patterns refuse, as nothing. A run is added when the spelling around it, read
+back, passes the kind's own rule (Luhn's sum, four parts up to 255, 9 to 15
+digits, an address with a domain) and meets none of the patterns' spans.
 
 Gates are piecewise linear, so that a step of many windows is a few vector
 operations. Training takes at most ``TRAINING_WINDOWS`` windows, the first by
@@ -34,11 +42,13 @@ KINDS = ("email", "ip", "card", "phone")
 SIZE, STRIDE = 128, 104
 HIDDEN, EMBEDDED = 8, 6
 TRAINING_WINDOWS = 1_500
-STEPS, BATCH, RATE = 160, 48, 0.03
+STEPS, BATCH, RATE = 260, 48, 0.03
 #: Characters that are turned into arrays at once, and windows that are read at once.
 CHUNK, GROUP = 1_000_000, 8_192
-#: A tagger's span has at least so many characters.
-SHORTEST = 6
+#: Characters around a run, or a piece of a long one, in which its spelling may begin and end.
+AROUND, PIECE = 24, 512
+#: Disguised windows of each span by kind; addresses have the most spellings.
+SPELLED = (12, 4, 4, 4)
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -84,7 +94,56 @@ def base_spans(text: str) -> list[list[Span]]:
     return found
 
 
-_SIGNS = " \n@.-+()_%:/,"
+#: Spellings of a point and of the sign of an address, and what may part groups of digits.
+_POINT = r"(?:\s*[\[({]\s*(?:\.|dot|DOT)\s*[\])}]\s*|\x20(?:\.|dot|DOT)\x20|\.)"
+_AT = r"(?:\s*[\[({]\s*(?:@|at|AT)\s*[\])}]\s*|\x20(?:@|at|AT)\x20|@)"
+_PARTED = r"(?:\x20?[-./_]\x20?|\x20{1,2})"
+_SPELLINGS = (
+    re.compile(rf"[A-Za-z0-9_%+-]+(?:{_POINT}[A-Za-z0-9_%+-]+)*{_AT}[A-Za-z0-9-]+(?:{_POINT}[A-Za-z0-9-]+)+"),
+    re.compile(rf"[0-9]{{1,3}}(?:{_POINT}[0-9]{{1,3}}){{3}}"),
+    re.compile(rf"[0-9](?:{_PARTED}?[0-9]){{12,18}}"),
+    re.compile(rf"(?:\+|00|\()[0-9](?:(?:{_PARTED}|[()/]|\x20?[()]\x20?)?[0-9]){{7,16}}"),
+)
+
+
+def _holds(kind: int, spelling: str) -> bool:
+    """Whether a spelling, read back, passes the kind's own rule."""
+    if kind == 0:
+        plain = re.sub(_POINT, ".", re.sub(_AT, "@", spelling))
+        return _emails(plain) == [(0, len(plain))]
+    if kind == 1:
+        parts = re.split(_POINT, spelling)
+        return len(parts) == 4 and all(int(p) <= 255 for p in parts)
+    if kind == 2:
+        return _is_card(spelling)
+    # A bare number is no telephone number.
+    return 9 <= len(_digits(spelling).removeprefix("00")) <= 15 and not spelling[1:].isdecimal()
+
+
+def disguised(kind: int, span: str, pick: int) -> str:
+    """A span as people write it who do not want it found; ``pick`` chooses the spelling."""
+    if kind == 0:
+        at = (" (at) ", " [at] ", " at ", "(at)", " @ ", "[at]")[pick % 6]
+        point = (".", " dot ", " (dot) ", "[.]", " . ", "[dot]")[pick // 6 % 6]
+        local, _, domain = span.rpartition("@")
+        return local + at + domain.replace(".", point)
+    if kind == 1:
+        return span.replace(".", ("[.]", " . ", "(.)", " dot ")[pick % 4])
+    digits = _digits(span)
+    if kind == 2:
+        parting = (".", "/", "_", "  ", " - ")[pick % 5]
+        return parting.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    parting = ("/", " / ", ".", "-", " ")[pick % 5]
+    return ("00", "00", "+")[pick % 3] + digits[:2] + parting + digits[2:5] + parting + digits[5:]
+
+
+def _refused(text: str) -> list[Span]:
+    """Matches of the patterns that their rules refuse; they teach the tagger what is nothing."""
+    found = [m.span() for m in _CARD.finditer(text) if m.end() - m.start() > 12 and not _is_card(m[0])]
+    return found + [m.span() for m in _IP.finditer(text) if any(len(p.lstrip("0")) > 3 or int(p.lstrip("0") or "0") > 255 for p in m[0].split("."))]
+
+
+_SIGNS = " \n@.-+()_%:/,[]"
 _CLASSES = 6 + len(_SIGNS)
 _TABLE: list[np.ndarray] = []
 
@@ -343,27 +402,38 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 
 def labelled_windows(docs: DataFrame) -> DataFrame:
-    """(window, tags): windows around the patterns' spans with a tag per character, and one without for each text.
+    """(window, tags): a tag for each character of windows around the patterns' spans, disguised spans and refused ones.
 
-    This is the supervision when no spans are labelled by hand. A text's
-    windows begin at places that its own hash picks.
+    This is the supervision when no spans are labelled by hand. Each text has
+    a window anywhere as well. Its windows begin at places that its own hash
+    picks, and so do the spellings.
     """
 
+    def window(text: str, start: int, spans: list[tuple[int, int, int]]) -> tuple[str, str]:
+        own = text[start : start + SIZE]
+        tags = ["0"] * len(own)
+        for a, b, k in spans:
+            for p in range(max(a, start), min(b, start + len(own))):
+                tags[p - start] = str(k)
+        return own, "".join(tags)
+
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         windows, tagged = [], []
         for text in batch.column(0).to_pylist():
             text = text or ""
             spans = sorted((a, b, k + 1) for k, own in enumerate(base_spans(text)) for a, b in own)
             pick = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=4).digest(), "big")
-            starts = {max(0, a - (pick + 37 * n) % (SIZE // 2)) for n, (a, _, _) in enumerate(spans)}
-            for start in sorted({*starts, pick % max(1, len(text) - SIZE)}):
-                window = text[start : start + SIZE]
-                tags = ["0"] * len(window)
-                for a, b, k in spans:
-                    for p in range(max(a, start), min(b, start + len(window))):
-                        tags[p - start] = str(k)
-                windows.append(window)
-                tagged.append("".join(tags))
+            before = lambda a, n: max(0, a - (pick + 37 * n) % (SIZE // 2))  # noqa: B023, E731
+            starts = {before(a, n) for n, (a, _) in enumerate([*((a, b) for a, b, _ in spans), *_refused(text)])}
+            found = [window(text, start, spans) for start in sorted({*starts, pick % max(1, len(text) - SIZE)})]
+            for n, (a, b, k) in enumerate(s for s in spans for _ in range(SPELLED[s[2] - 1])):
+                start, spelling = before(a, n), disguised(k - 1, text[a:b], pick + 7 * n)
+                around = [s for s in spans if s[1] <= a and s[1] > start]
+                rewritten = text[start:a] + spelling + text[b : b + SIZE]
+                moved = [(x - start, y - start, z) for x, y, z in around] + [(a - start, a - start + len(spelling), k)]
+                found.append(window(rewritten[: a - start + len(spelling) + 16], 0, moved))
+            windows += [w for w, _ in found]
+            tagged += [t for _, t in found]
         return record(window=pa.array(windows, pa.string()), tags=pa.array(tagged, pa.string()))
 
     return map_batches(docs.select(F.col("text").cast("string")), of, "window string, tags string")
@@ -386,16 +456,22 @@ def train(labelled: DataFrame, windows: int = TRAINING_WINDOWS) -> Tagger | None
 
 
 def _added(text: str, base: list[list[Span]], tagged: list[tuple[int, int, int]]) -> list[list[Span]]:
-    """The tagger's spans without blanks at their ends that meet none of the patterns'."""
+    """The spellings at the tagger's runs that pass their kind's rule and meet none of the patterns' spans."""
     taken = sorted(s for own in base for s in own)
     out: list[list[Span]] = [[] for _ in KINDS]
-    for kind, a, b in tagged:
-        while a < b and text[a].isspace():
-            a += 1
-        while b > a and text[b - 1].isspace():
-            b -= 1
-        if b - a >= SHORTEST and not any(x < b and a < y for x, y in taken):
-            out[kind].append((a, b))
+    # Spellings are short, so long runs are looked at in pieces; the rule may tell another kind than the run's.
+    pieces = [(kind, p, min(b, p + PIECE)) for kind, a, b in tagged for p in range(a, b, PIECE)]
+    for run, a, b in pieces:
+        low = max(0, a - AROUND)
+        for kind in sorted(range(len(KINDS)), key=lambda k: k != run):
+            for m in _SPELLINGS[kind].finditer(text, low, min(len(text), b + AROUND)):
+                x, y = m.span()
+                cut = (x == low and low and text[x - 1].isalnum()) or (y == b + AROUND < len(text) and text[y].isalnum())
+                if cut or x >= b or y <= a or not _holds(kind, m[0]):
+                    continue
+                if not any(p < y and x < q for p, q in taken):
+                    out[kind].append((x, y))
+                    taken.append((x, y))
     return out
 
 

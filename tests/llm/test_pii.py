@@ -156,3 +156,57 @@ def test_numbers_longer_than_python_converts():
     assert pii.base_spans(zeros)[1] == [(0, len(zeros))]
     assert pii.base_spans("1.2.3." + "9" * 5000)[1] == []
     assert pii.base_spans("0.0.0." + "0" * 5000)[1] == [(0, 5006)]
+
+
+def test_spellings_that_no_pattern_finds_are_found(spark, sf_dir):
+    """Held out: new addresses and numbers, disguised, in the corpus' own words."""
+    docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    tagger = pii.train(pii.labelled_windows(docs))
+    words = docs.where("doc_id % 9 = 4").first().text.split()
+    rng = random.Random(9)
+    name = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9)))
+
+    def card():
+        start = "".join(rng.choices("0123456789", k=15))
+        return next(start + c for c in "0123456789" if luhn(start + c))
+
+    make = (
+        lambda: f"{name()}.{name()}@{name()}.{rng.choice(['com', 'org', 'de'])}",
+        lambda: ".".join(str(rng.randrange(256)) for _ in range(4)),
+        card,
+        lambda: "+" + "".join(rng.choices("123456789", k=11)),
+    )
+    hit, asked = [0] * 4, [0] * 4
+    for i in range(240):
+        spelling = pii.disguised(i % 4, make[i % 4](), rng.randrange(1000))
+        before = " ".join(rng.choices(words, k=12)) + " "
+        text = f"{before}{spelling} {' '.join(rng.choices(words, k=4))}"
+        place = (len(before), len(before) + len(spelling))
+        if any(a < place[1] and place[0] < b for own in plain(text) for a, b in own):
+            continue  # the patterns see it
+        ((_, spans),) = pii.all_spans([text], tagger)
+        asked[i % 4] += 1
+        hit[i % 4] += place in spans[i % 4]
+    assert all(n > 30 for n in asked) and all(h >= 0.6 * n for h, n in zip(hit, asked, strict=True)), (hit, asked)
+    assert sum(hit) >= 0.8 * sum(asked)
+
+
+def test_what_the_rules_refuse_is_not_added(tagger):
+    refused = ["4111 1111 1111 1112", "4111.1111.1111.1112", "999 . 1 . 1 . 1", "an. an. an. an.", "de. de. de.", "12345678901234567"]
+    for r in refused:
+        ((base, spans),) = pii.all_spans([f"so it is {r} and on"], tagger)
+        assert spans == base == [[], [], [], []], r
+
+
+@pytest.mark.parametrize("kind", range(4))
+def test_disguises_read_back(kind):
+    value = ("ab.c@de-f.org", "10.0.200.7", "4111111111111111", "+49301234567")[kind]
+    for pick in range(60):
+        spelling = pii.disguised(kind, value, pick)
+        assert pii._holds(kind, spelling) and pii._SPELLINGS[kind].fullmatch(spelling), spelling
+
+
+def test_long_runs_take_little_time(tagger):
+    for text in ("a" * 100_000, "1" * 100_000, "1 " * 50_000, "a.b." * 25_000, "+1(2)" * 20_000):
+        runs = [(k, 0, len(text)) for k in range(4)]
+        assert pii._added(text, [[], [], [], []], runs) is not None
