@@ -2,16 +2,21 @@
 
 Obfuscated words are restored through a noisy channel: each observed sign may
 stand for itself, for the letters it is used for, or for nothing; a repeated
-sign for one or two; letters set apart by blanks or points for one word. The
-readings form a lattice of characters, and Viterbi decoding takes the path
-that a character language model of the corpus likes best. Words of letters
-without such signs have a single path and are left alone.
+sign for one or two; letters and signs set apart by blanks or points for one
+word. The readings form a lattice of characters, and Viterbi decoding, which
+keeps all states, takes the path that a character language model of the corpus
+likes best. Words of letters none of which is doubled have a single path and
+are left alone; of a word with doubled letters both spellings count. A token of
+signs only, a number say, is read as letters if the model likes them better
+than letters at random. A token of more than ``LONGEST`` runs of equal
+characters is decoded in pieces of that many.
 
 The restored words are scored by the character n-grams that labelled toxic
 texts have and others lack; a text's score is a logistic function of its worst
 words. The language model counts all texts. The n-gram weights are learned
-from at most ``TRAINING_TEXTS`` labelled rows, the first by hash of the id; the
-logistic function sees each half of them with the weights of the other half.
+from at most ``TRAINING_TEXTS`` labelled rows, the first by hash of the id, and
+the ``MAX_WEIGHTS`` strongest are kept; the logistic function sees each half of
+them with the weights of the other half.
 
 Null and empty texts have no words; their score is that of a text without any
 evidence. Without toxic or without other labelled texts all scores are 0. A
@@ -68,12 +73,17 @@ MEANT = {
 #: Any letter may be behind this one.
 HIDDEN = "*"
 _LOG = {"meant": math.log(0.5), "dropped": math.log(0.2), "halved": math.log(0.1), "hidden": math.log(0.2), "space": math.log(0.3)}
-_BEAM = 24
+#: Runs of equal characters that are decoded at once; words have fewer.
+LONGEST = 60
+#: Log-probability of a letter drawn at random.
+_RANDOM = -math.log(26)
 _EDGES = ".,;:!?\"'()[]{}<>«»„“”…-_=/\\|#%&"
 _DECORATION = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
 _RUN = re.compile(r"(.)\1*", re.S)
+_TWICE = re.compile(r"([^\W\d_])\1")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
-_APART = re.compile(r"(?<!\S)[^\W\d_](?: [^\W\d_]){2,}(?!\S)")
+_SIGN = rf"(?:[^\W\d_]|[{re.escape(''.join(MEANT) + HIDDEN)}])"
+_APART = re.compile(rf"(?<!\S){_SIGN}(?: {_SIGN}){{2,}}(?!\S)")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -127,7 +137,9 @@ def readings(token: str, apart: bool = False) -> list[list[tuple[str, float]]]:
 
 
 def decode(lattice: list[list[tuple[str, float]]], model: CharacterModel) -> str:
-    """The most likely reading: Viterbi over states of three characters, the best ``_BEAM`` of each step."""
+    """The most likely reading: Viterbi over all states of three characters, in pieces of ``LONGEST`` steps."""
+    if len(lattice) > LONGEST:
+        return "".join(decode(lattice[i : i + LONGEST], model) for i in range(0, len(lattice), LONGEST))
     states = {"   ": (0.0, "")}
     for ways in lattice:
         after: dict[str, tuple[float, str]] = {}
@@ -139,8 +151,6 @@ def decode(lattice: list[list[tuple[str, float]]], model: CharacterModel) -> str
                     own = own[1:] + char
                 if own not in after or total > after[own][0]:
                     after[own] = (total, text + string)
-        if len(after) > _BEAM:
-            after = dict(sorted(after.items(), key=lambda x: (-x[1][0], x[0]))[:_BEAM])
         states = after
     return max((score + model.log(context, " "), text) for context, (score, text) in states.items())[1]
 
@@ -153,15 +163,24 @@ def plain(token: str) -> str:
 def restored_token(token: str, model: CharacterModel) -> str:
     core = plain(token)
     if core.isalpha():
-        if not _THRICE.search(core):
+        if not _TWICE.search(core):
             return core
     elif not any(c.isalpha() for c in core):
-        return core
+        return _of_signs(_DECORATION.sub("", token).strip(".,;:?\"'"), model) or core
     # Signs at the end may be letters as well, so what was cut off but points and commas comes back.
     core = _DECORATION.sub("", _DECORATION.sub("", token)).strip(".,;:?\"'")
     return decode(readings(core), model)
 
 
+def _of_signs(token: str, model: CharacterModel) -> str | None:
+    """The word that a token of signs spells, each of which must stand for a letter; None if it is none."""
+    if len(token) < 3 or not all(c in MEANT for c in token):
+        return None
+    word = decode([[way for way in ways if way[0]] for ways in readings(token)], model)
+    total = sum(model.log(" " + word[:i], c) for i, c in enumerate(word + " "))
+    return word if total / (len(word) + 1) > _RANDOM else None
+
+
 def restore(text: str, model: CharacterModel) -> str:
     """The text in lower case, its tokens restored and parted by single blanks."""
     lowered = text.lower()
@@ -205,15 +224,18 @@ class Scorer:
         if found is None:
             if len(self._memo) > MEMO_TOKENS:
                 self._memo.clear()
-            found = self._memo[token] = "><".join(_LETTERS.findall(restored_token(token, self.characters)))
+            words = _LETTERS.findall(restored_token(token, self.characters))
+            if token.isalpha() and not _THRICE.search(token) and token not in words:
+                words.append(token)
+            found = self._memo[token] = "><".join(words)
         return found
 
     def words(self, text: str | None) -> str:
         """All restored words as ``<one><two>``, those of letters set apart once more at the end."""
         lowered = (text or "").lower()
         tokens = lowered.split()
-        if _THRICE.search(lowered):
-            words = [t if t.isalpha() and not _THRICE.search(t) else self._edged(t) for t in tokens]
+        if _TWICE.search(lowered):
+            words = [t if t.isalpha() and not _TWICE.search(t) else self._edged(t) for t in tokens]
         else:
             words = [t if t.isalpha() else self._edged(t) for t in tokens]
         if sum(map((1).__eq__, map(len, tokens))) > 2:

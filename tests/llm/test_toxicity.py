@@ -29,6 +29,39 @@ def test_restored_tokens(scorer, written, meant):
     assert toxicity.restored_token(written, scorer.characters) == meant
 
 
+@pytest.mark.parametrize(
+    ("written", "meant"),
+    [
+        ("iiddiioott", "idiot"),
+        ("ssttuuppiidd", "stupid"),
+        ("$7up1d", "stupid"),
+        ("1d1*t", "idiot"),
+        ("1 d 1 0 t", "idiot"),
+        ("s t u p 1 d", "stupid"),
+        ("$ 7 u p 1 d", "stupid"),
+        ("i d ! o t", "idiot"),
+        ("1d10t 2186 the", "idiot 2186 the"),
+    ],
+)
+def test_each_way_of_spelling_is_read(scorer, written, meant):
+    """Doubled letters, signs, hidden letters, and single letters and signs set apart, alone and mixed."""
+    assert toxicity.restore(written, scorer.characters) == meant
+    assert set(meant.split()) - {"2186"} <= set(scorer.words(written).strip("<>").split("><"))
+
+
+def test_tokens_of_signs_are_read_only_if_they_spell_something(scorer):
+    assert toxicity.restored_token("1996", scorer.characters) == "1996"
+    assert toxicity._of_signs("12", scorer.characters) is None
+    assert toxicity._of_signs("4&5", scorer.characters) is None
+    words = {t: toxicity._of_signs(t, scorer.characters) for t in ("455", "455455", "99999", "682")}
+    assert all(w is None or w.isalpha() for w in words.values())
+
+
+def test_long_tokens_are_decoded_in_pieces(scorer, monkeypatch):
+    monkeypatch.setattr(toxicity, "LONGEST", 5)
+    assert toxicity.restore("1d10t" * 40, scorer.characters) == "idiot" * 40
+
+
 def test_letters_set_apart_are_joined(scorer):
     assert toxicity.restore("the s t u p i d ones", scorer.characters) == "the stupid ones"
 
