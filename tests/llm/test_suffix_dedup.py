@@ -85,3 +85,25 @@ def test_query(spark, sf_dir):
     got = found(queries.op8_prefix_doubling(spark, sf_dir))
     assert got == brute(rows, 400)
     assert any(r[2] for r in got)
+
+
+def test_planted_passages_go_if_they_are_long_enough(frame):
+    """Passages of 51 to 80 words, each in several documents: those of 400 bytes or more are removed whole, others stay."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passages = [prose(n) for n in range(51, 81, 2)]
+    held = {k: rng.sample(range(300), rng.choice([2, 3, 9])) for k in range(len(passages))}
+    rows = []
+    for i in range(300):
+        own = [p for k, p in enumerate(passages) if i in held[k]]
+        rows.append((i, " ".join(x for p in own for x in (prose(rng.randint(20, 90)), p)) + " " + prose(rng.randint(20, 90))))
+    got = found(suffix_dedup.deduplicated(frame(rows, 9), 400))
+    assert got == brute(rows, 400)
+    removed = {r[0]: r[2] for r in got}
+    long = {k for k, p in enumerate(passages) if len(p) >= 400}
+    assert long and len(long) < len(passages)
+    for i, _ in rows:
+        least = sum(len(passages[k]) for k in long if i in held[k])
+        # Blanks beside a passage are shared too.
+        assert least <= removed[i] <= least + 4 * len(passages) * bool(least), i
