@@ -35,22 +35,36 @@ SIGN = "weight"
 _MEASURES = {"pieces": "quantity", "net": "net_amount", "price_sum": "unit_price"}
 
 
-def signed_totals(sales: DataFrame, *keys: str | Column) -> DataFrame:
-    """Signed measures of ``totals``, and in ``…_n`` how many sales have the value that was summed."""
+def signed_parts(sales: DataFrame, *others: str | Column) -> DataFrame:
+    """Each sale's signed measures, and in ``…_n`` its sign where it has the value; sums of these make a state."""
     sign = F.col(SIGN) if SIGN in sales.columns else F.lit(1)
-    columns = [F.sum(sign).cast("bigint").alias("lines")]
+    columns = [sign.cast("bigint").alias("lines")]
     for name, value in _MEASURES.items():
         signed = (F.col(value) * sign).cast(sales.schema[value].dataType)
-        columns += [F.sum(signed).alias(name), F.sum(F.when(F.col(value).isNotNull(), sign)).cast("bigint").alias(f"{name}_n")]
-    return sales.groupBy(*keys).agg(*columns)
+        columns += [signed.alias(name), F.when(F.col(value).isNotNull(), sign).cast("bigint").alias(f"{name}_n")]
+    return sales.select(*others, *columns)
+
+
+def signed_totals(sales: DataFrame, *keys: str) -> DataFrame:
+    """Signed measures of ``totals``, and in ``…_n`` how many sales have the value that was summed."""
+    return summed(signed_parts(sales, *keys), *keys)
 
 
-def added(parts: DataFrame, *keys: str) -> DataFrame:
-    """States of signed sales put together; equal to the state of the sales that are left."""
+def summed(parts: DataFrame, *keys: str) -> DataFrame:
     measures = [c for c in parts.columns if c not in keys]
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
+
+
+def added(state: DataFrame, parts: DataFrame, *keys: str) -> DataFrame:
+    """A state with the parts of more signed sales; equal to the state of the sales that are left.
+
+    The parts are added up with the state, in one shuffle: few of them meet
+    in a row of the states that are large.
+    """
+    same = parts.select(*[F.col(f.name).cast(f.dataType) for f in state.schema])
+    whole = summed(state.unionByName(same), *keys).where("lines <> 0")
     # A sum of sums is wider by ten digits; the stored type stays the same.
-    whole = parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures]).where("lines <> 0")
-    return whole.select(*[F.col(c).cast(parts.schema[c].dataType).alias(c) for c in parts.columns])
+    return whole.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in state.schema])
 
 
 def left_over(state: DataFrame) -> DataFrame:
@@ -165,29 +179,26 @@ def daily_enhanced_from(members: DataFrame) -> DataFrame:
     )
 
 
+def _kinds(sales: DataFrame, key: str, *members: Column) -> DataFrame:
+    """A row for each kind of member of each sale, from one pass over the sales, whose buyers take a join."""
+    parts = signed_parts(sales, key, F.explode(F.array(*members)).alias("_of"))
+    return parts.select("_of.kind", key, *[f"_of.{c}" for c in parts.schema["_of"].dataType.names[1:]], "lines", "net", "net_n")
+
+
 def signed_day_members(sales: DataFrame) -> DataFrame:
-    """As ``day_members``, from signed sales: products with the number of their lines."""
-    by_customer = signed_totals(sales, F.lit("customer").alias("kind"), "sale_date", F.col("customer_id").alias("member"))
-    by_product = signed_totals(sales, F.lit("product").alias("kind"), "sale_date", F.col("product_id").alias("member"))
-    return by_customer.unionByName(by_product).select("kind", "sale_date", "member", "lines", "net", "net_n")
+    """The parts of ``day_members``, from signed sales: products with the number of their lines."""
+    of = lambda kind: F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_id").alias("member"))
+    return _kinds(sales, "sale_date", of("customer"), of("product"))
 
 
 def signed_customer_members(sales: DataFrame) -> DataFrame:
-    """A customer's products and days, as rows of one table; totals are with the products."""
-    products, days = F.lit("product").alias("kind"), F.lit("day").alias("kind")
-    by_product = signed_totals(sales, products, "customer_id", "product_id").select(
-        "kind", "customer_id", "product_id", F.lit(None).cast("date").alias("sale_date"), "lines", "net", "net_n"
+    """Parts of a customer's products and days, as rows of one table; totals are with the products."""
+    no_product = F.lit(None).cast(sales.schema["product_id"].dataType)
+    by_product = F.struct(F.lit("product").alias("kind"), "product_id", F.lit(None).cast("date").alias("sale_date"))
+    by_day = F.struct(F.lit("day").alias("kind"), no_product.alias("product_id"), "sale_date")
+    return _kinds(sales, "customer_id", by_product, by_day).select(
+        "kind", "customer_id", "product_id", "sale_date", "lines", "net", "net_n"
     )
-    by_day = signed_totals(sales, days, "customer_id", "sale_date").select(
-        "kind",
-        "customer_id",
-        F.lit(None).cast(sales.schema["product_id"].dataType).alias("product_id"),
-        "sale_date",
-        "lines",
-        "net",
-        "net_n",
-    )
-    return by_product.unionByName(by_day)
 
 
 def pair_totals(sales: DataFrame) -> DataFrame:
@@ -288,25 +299,28 @@ Inputs = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Summary:
-    """A named summary: its state from inputs with signed sales, and the rows shown from a state.
+    """A named summary: the parts of its state from inputs with signed sales, and the rows shown from a state.
 
-    ``keys`` name a row of the state. ``show`` gets the rows that have sales, and
+    ``keys`` name a row of the state, which has the sums of its parts. ``show`` gets the rows that have sales, and
     the inputs, for the attributes of members.
     """
 
     name: str
-    state: Callable[[Inputs], DataFrame]
+    parts: Callable[[Inputs], DataFrame]
     keys: tuple[str, ...]
     show: Callable[[DataFrame, Inputs], DataFrame]
     sort_by: tuple[str, ...] = ()
 
+    def state(self, inputs: Inputs) -> DataFrame:
+        return summed(self.parts(inputs), *self.keys)
+
     def build(self, inputs: Inputs) -> DataFrame:
         return self.show(left_over(self.state(inputs)), inputs)
 
 
 def summaries() -> dict[str, Summary]:
     """The six summaries over the inputs ``sales`` (with customer), ``customers`` and ``products``."""
-    of = lambda *keys: lambda inputs: signed_totals(inputs["sales"], *keys)
+    of = lambda *keys: lambda inputs: signed_parts(inputs["sales"], *keys)
     found = (
         Summary("mv_daily_sales", of("sale_date"), ("sale_date",), lambda s, _: daily_sales_from(s), ("sale_date",)),
         Summary(
@@ -377,8 +391,7 @@ class SummaryStore:
         if batch in batches:
             return
         old = self.spark.read.parquet(f"{now[0]}/state")
-        both = old.unionByName(summary.state(new_inputs).select(*[F.col(f.name).cast(f.dataType) for f in old.schema]))
-        self._publish(summary, added(both, *summary.keys), new_inputs, [*batches, batch], now[:1])
+        self._publish(summary, added(old, summary.parts(new_inputs), *summary.keys), new_inputs, [*batches, batch], now[:1])
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(name)

@@ -7,7 +7,7 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratoform.functions.dates import instant
@@ -16,6 +16,9 @@ from stratoform.session import remove
 from stratoform.sources.commits import CommitLog, Entry, State
 
 WINDOW = dt.timedelta(days=1)
+#: Changes are few if the rows that they may touch are this many times as many.
+FEW = 8
+_FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
 
 def newest(df: DataFrame, change_time: str) -> dt.datetime | None:
@@ -188,18 +191,65 @@ class KeyedTable:
     def changes_between(self, spark: SparkSession, before: int, after: int, sign: str = "weight") -> DataFrame:
         """The rows that went (``sign`` -1) and came (1) from one version to another.
 
-        Only keys that a commit in between names are looked at, unless one of
-        them replaced the table. A corrected row is there twice, an unchanged one
+        A corrected row is there twice, an unchanged one
         not at all, and the signed rows added to the old ones give the new ones.
         """
-        entries = self.log.entries(spark, before, after)
-        sides = [self.read(spark, v).withColumn(sign, F.lit(w)) for v, w in ((before, -1), (after, 1))]
-        if self.keys and not any(e.kind == "base" for e in entries):
-            folders = [f"{self.path}/{e.folder}" for e in entries if e.kind != "merged"]
-            if not folders:
-                return sides[1].limit(0)
-            touched = reduce(DataFrame.unionByName, (spark.read.parquet(f).select(*self.keys) for f in folders)).distinct()
-            sides = [side.join(touched, _same(side, touched, self.keys), "left_semi") for side in sides]
-        both = sides[0].unionByName(sides[1])
+        if all(e.kind == "merged" for e in self.log.entries(spark, before, after)):
+            return self.read(spark, after).limit(0).withColumn(sign, F.lit(1))
+        if self.keys:
+            current = self._current(spark, [self.log.state(spark, v) for v in (before, after)])
+            both = current.withColumn(sign, F.col("_in1").cast("int") - F.col("_in0").cast("int")).drop("_in0", "_in1")
+            both = both.where(F.col(sign) != 0)
+        else:
+            sides = [self.read(spark, v).withColumn(sign, F.lit(w)) for v, w in ((before, -1), (after, 1))]
+            both = sides[0].unionByName(sides[1])
         columns = [c for c in both.columns if c != sign]
         return both.groupBy(*columns).agg(F.sum(sign).cast("int").alias(sign)).where(F.col(sign) != 0)
+
+    def _current(self, spark: SparkSession, states: list[State]) -> DataFrame:
+        """The rows of all folders, each folder read once, with ``_in{i}``: whether it is its key's row in state i.
+
+        As ``_rows`` has it: a deletion ends the rows before it, and of the others
+        the first in the order of ``latest_per_key`` counts. A key has a row in
+        each folder at most, so its rows meet in one shuffle and one sort. Where
+        little was changed, only the changed keys' rows take part.
+        """
+        entries = {e.folder: e for s in states for e in ((s.base, *s.changes) if s.base else s.changes)}
+        # How many deletions there are up to a folder, its own included.
+        places: dict[str, list[int | None]] = {folder: [None] * len(states) for folder in entries}
+        for i, state in enumerate(states):
+            deletions = 0
+            for e in (state.base, *state.changes) if state.base else state.changes:
+                deletions += e.kind == "delete"
+                places[e.folder][i] = deletions
+        parts = {folder: spark.read.parquet(f"{self.path}/{folder}") for folder in entries}
+        columns = next((parts[f].columns for f, e in entries.items() if e.kind != "delete"), list(self.keys))
+        parts = self._of_changed(parts, places, entries)
+        placed = []
+        for folder, part in parts.items():
+            deletes = entries[folder].kind == "delete"
+            empty = {c: F.lit(None) for c in columns if c not in self.keys} if deletes else {}
+            at = {f"_at{i}": F.lit(p).cast("int") for i, p in enumerate(places[folder])}
+            placed.append(part.withColumns(empty | at | {"_gone": F.lit(deletes)}))
+        rows = reduce(DataFrame.unionByName, placed)
+        others = [c for c in columns if c not in {*self.keys, *self.newest_by}]
+        order = [*[F.col(c).desc_nulls_last() for c in self.newest_by], *[F.col(c).asc_nulls_last() for c in others]]
+        key = Window.partitionBy(*self.keys).orderBy(*order)
+        whole, upto = key.rowsBetween(_FIRST, _LAST), key.rowsBetween(_FIRST, Window.currentRow)
+        sides = range(len(states))
+        gone = {f"_gone{i}": F.max(F.when(F.col("_gone"), F.col(f"_at{i}"))).over(whole) for i in sides}
+        rows = rows.withColumns(gone).where(~F.col("_gone"))
+        rows = rows.withColumns({f"_has{i}": F.coalesce(F.col(f"_at{i}") >= F.coalesce(f"_gone{i}", F.lit(0)), F.lit(False)) for i in sides})
+        rows = rows.withColumns({f"_n{i}": F.count_if(F.col(f"_has{i}")).over(upto) for i in sides})
+        return rows.select(*columns, *[(F.col(f"_has{i}") & (F.col(f"_n{i}") == 1)).alias(f"_in{i}") for i in sides])
+
+    def _of_changed(
+        self, parts: dict[str, DataFrame], places: dict[str, list[int | None]], entries: dict[str, Entry]
+    ) -> dict[str, DataFrame]:
+        """``parts`` without keys that are in folders of all states only, if the other folders are small; their rows are counted from footers."""
+        common = {f for f, p in places.items() if None not in p and entries[f].kind != "delete"}
+        some = [parts[f] for f in parts if f not in common]
+        if not common or not some or FEW * sum(p.count() for p in some) > sum(parts[f].count() for f in common):
+            return parts
+        touched = reduce(DataFrame.unionByName, (p.select(*self.keys) for p in some)).distinct()
+        return {f: p.join(touched, _same(p, touched, self.keys), "left_semi") if f in common else p for f, p in parts.items()}

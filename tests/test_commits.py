@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 import uuid
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from decimal import Decimal
@@ -12,6 +13,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from plans import physical
 from stratoform.operators.keys import MOST_FOLDERS, KeyRegistry
 from stratoform.plans import gold, summaries
 from stratoform.session import put_if_absent, read_small
@@ -174,6 +176,43 @@ def test_merged_rows_equal_the_newest_of_each_key(spark, tmp_path):
     assert rows(target.read(spark)) == sorted((r for _, r in best.values()), key=repr)
 
 
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_changes_equal_the_difference_of_the_versions(spark, tmp_path, monkeypatch, few):
+    """Between any two versions, with ties, nulls, deleted keys that come back, and a merged base."""
+    monkeypatch.setattr("stratoform.sources.changes.FEW", few)
+    rng = random.Random(2)
+    at = lambda: rng.choice([None, T(2024, 1, 1), T(2024, 1, 2)])
+    data = lambda n: spark.createDataFrame([(rng.choice([None, *range(20)]), at(), rng.choice([None, "a", "b"])) for _ in range(n)], CHANGES)
+    target = keyed(tmp_path / "t", kept=20)
+    target.replace(data(25))
+    for write in (target.upsert, target.delete, target.upsert, target.upsert, target.delete):
+        write(data(8))
+    target.compact(spark)
+    target.upsert(data(8))
+    versions = [Counter(map(tuple, target.read(spark, v).select("key", "at", "v").collect())) for v in range(8)]
+    for a, b in ((0, 1), (0, 2), (1, 4), (2, 5), (3, 7), (5, 6), (6, 7), (0, 7)):
+        signed = {tuple(r[:3]): r[3] for r in target.changes_between(spark, a, b).select("key", "at", "v", "weight").collect()}
+        change = {k: versions[b][k] - versions[a][k] for k in versions[a] | versions[b]}
+        assert signed == {k: n for k, n in change.items() if n}
+
+
+def test_changes_meet_in_one_shuffle(spark, tmp_path):
+    target = keyed(tmp_path / "t")
+    target.replace(changes(spark, (1, 1, "a"), (2, 1, "b"), (3, 1, "c")))
+    target.upsert(changes(spark, (2, 2, "b2"), (4, 2, "d")))
+    target.delete(changes(spark, (1, 1, "a")))
+    assert physical(target.changes_between(spark, 0, 2)).count("Exchange ") == 1
+
+
+@pytest.mark.parametrize("members", [summaries.signed_day_members, summaries.signed_customer_members])
+def test_members_take_one_pass_over_the_sales(spark, members):
+    sales = spark.createDataFrame([(1, 1, 1, 10, D(2024, 1, 1), 2, Decimal("5.00"), Decimal("10.0000"), 1)], SALES)
+    buyers = spark.createDataFrame([(1, 7)], "sale_id int, customer_id int")
+    joined = sales.drop("customer_id").join(buyers, "sale_id")
+    assert physical(members(joined)).count("Join ") == 1
+    assert [r.net for r in members(joined).collect()] == 2 * [Decimal("10.0000")]
+
+
 # --- lasting keys ----------------------------------------------------------
 
 
