@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stratoform.functions.amounts import mean
 from stratoform.operators.zones import count_points_in_zones
 from stratoform.plans.sales import daily_by_region, totals
-from stratoform.session import remove, stage
+from stratoform.session import SMALL, remove, stage
 from stratoform.sources.partitioned import MonthlyTable
 
 # --- definitions -----------------------------------------------------------
@@ -33,6 +33,8 @@ _SUMS = ("lines", "pieces", "net", "price_sum")
 #: 1 for a sale that is added, -1 for one that is taken back; sales without the column are added.
 SIGN = "weight"
 _MEASURES = {"pieces": "quantity", "net": "net_amount", "price_sum": "unit_price"}
+#: The columns of a sale that are added up.
+MEASURED = tuple(_MEASURES.values())
 
 
 def signed_parts(sales: DataFrame, *others: str | Column) -> DataFrame:
@@ -201,6 +203,18 @@ def signed_customer_members(sales: DataFrame) -> DataFrame:
     )
 
 
+def customer_members_of(pairs: DataFrame, day_members: DataFrame) -> DataFrame:
+    """The sums of ``signed_customer_members`` from those per customer and product and those of ``signed_day_members``."""
+    by_product = pairs.withColumns({"kind": F.lit("product"), "sale_date": F.lit(None).cast(day_members.schema["sale_date"].dataType)})
+    by_day = day_members.where("kind = 'customer'").select(
+        F.lit("day").alias("kind"),
+        F.col("member").cast(pairs.schema["customer_id"].dataType).alias("customer_id"),
+        F.lit(None).cast(pairs.schema["product_id"].dataType).alias("product_id"),
+        *["sale_date", "lines", "net", "net_n"],
+    )
+    return by_product.select(by_day.columns).unionByName(by_day)
+
+
 def pair_totals(sales: DataFrame) -> DataFrame:
     """Totals and first and last day per customer and product.
 
@@ -372,11 +386,11 @@ class SummaryStore:
     temporary: bool = False
     defined: dict[str, Summary] = field(default_factory=dict)
 
-    def create(self, summary: Summary, inputs: Inputs, batch: str = "first") -> None:
-        """Register and fill the summary unless it exists."""
+    def create(self, summary: Summary, inputs: Inputs, batch: str = "first", state: DataFrame | None = None) -> None:
+        """Register and fill the summary unless it exists; ``state`` is given where others hold it already."""
         self.defined[summary.name] = summary
         if not self.spark.catalog.tableExists(summary.name):
-            self._publish(summary, summary.state(inputs), inputs, [batch], [])
+            self._publish(summary, summary.state(inputs) if state is None else state, inputs, [batch], [])
 
     def refresh(self, name: str, inputs: Inputs, batch: str = "first") -> None:
         """Recompute from all inputs."""
@@ -410,11 +424,11 @@ class SummaryStore:
         self, summary: Summary, state: DataFrame, inputs: Inputs, batches: list[str], previous: list[str]
     ) -> None:
         folder = f"{self.path}/{summary.name}/{uuid.uuid4().hex}"
-        kept = stage(state, summary.name, f"{folder}/state")
+        kept = stage(state, summary.name, f"{folder}/state", SMALL)
         df = summary.show(left_over(kept), inputs)
         if summary.sort_by:
             df = df.repartitionByRange(*summary.sort_by).sortWithinPartitions(*summary.sort_by)
-        stage(df, summary.name, f"{folder}/rows")
+        stage(df, summary.name, f"{folder}/rows", SMALL)
         log = [(b, None) for b in batches] + [(None, p) for p in previous]
         log = self.spark.createDataFrame(log, "batch string, previous string").coalesce(1)
         stage(log, summary.name, f"{folder}/batches")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratoform.functions.dates import instant
 from stratoform.operators.latest import latest_per_key, upsert_latest
-from stratoform.session import remove
+from stratoform.session import SMALL, remove
 from stratoform.sources.commits import CommitLog, Entry, State
 
 WINDOW = dt.timedelta(days=1)
@@ -87,7 +87,7 @@ class KeyedTable:
 
     def _put(self, df: DataFrame, kind: str, since: dt.datetime | None = None) -> State:
         folder = f"{kind}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{folder}")
+        df.write.parquet(f"{self.path}/{folder}", compression=SMALL)
 
         def entry(state: State) -> Entry:
             upto = state.version if kind == "base" else None
@@ -154,7 +154,7 @@ class KeyedTable:
         """Writes the merged rows as the base; changes that are committed meanwhile stay in force after it."""
         state = self.log.state(spark)
         folder = f"merged-{uuid.uuid4().hex}"
-        self._rows(spark, state).write.parquet(f"{self.path}/{folder}")
+        self._rows(spark, state).write.parquet(f"{self.path}/{folder}", compression=SMALL)
         # A base that another writer put there meanwhile is newer than what was read here.
         after = self.log.commit(
             spark, lambda now: Entry(0, "merged", folder, state.version) if now.base == state.base else None

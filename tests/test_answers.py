@@ -11,6 +11,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from plans import physical
+from stratoform.catalog.summaries import answers as stored_answers
+from stratoform.model import views
 from stratoform.plans import summaries
 from stratoform.plans.answers import Answers, Condition, Question, cuboids_of
 
@@ -112,3 +115,19 @@ def test_what_no_summary_holds_is_answered_from_the_sales(answers):
         answers.answer(Question(("total_sales",), ("planet",)))
     with pytest.raises(ValueError):
         Question(("joy",))
+
+
+def test_sales_meet_their_buyers_once(spark, sf_dir):
+    """What the summaries do not hold comes from the same rows as they do, without another join."""
+    known = stored_answers(spark, sf_dir)
+    assert "Join" not in physical(known.sales)
+    assert known.sales.count() == views.sales_with_customer(spark, sf_dir).count()
+
+
+def test_the_customers_state_is_in_two_others(spark, sf_dir):
+    sales = views.sales_with_customer(spark, sf_dir).where("sale_id % 5 = 0")
+    own = {n: s.state({"sales": sales}) for n, s in summaries.summaries().items()}
+    held = summaries.customer_members_of(own["mv_product_enhanced"], own["mv_daily_enhanced"])
+    whole = own["mv_customer_enhanced"]
+    assert held.schema.simpleString() == whole.schema.simpleString()
+    assert held.exceptAll(whole).count() == whole.exceptAll(held).count() == 0 < whole.count()
