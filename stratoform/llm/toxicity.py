@@ -46,8 +46,8 @@ SIZES = (4, 5, 6)
 MIN_TEXTS, MIN_WEIGHT = 4, 2.0
 #: N-grams kept, the strongest first; a worker holds them in a table.
 MAX_WEIGHTS = 200_000
-#: Tokens whose scores a worker keeps; it starts over beyond that.
-MEMO_TOKENS = 100_000
+#: Tokens whose words a worker keeps, and four characters whose log-probability it keeps; it starts over beyond that.
+MEMO_TOKENS, MEMO_GRAMS = 200_000, 200_000
 
 #: The letters that a sign is used for.
 MEANT = {
@@ -98,11 +98,24 @@ class CharacterModel:
         ]
         self._floor = float(model.floor[0])
         self._mix = int(langid._MIX)
+        self._memo: dict[str, float] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_memo": {}}  # each worker makes its own
 
     def log(self, context: str, char: str) -> float:
         """Of ``char`` after the last three characters of ``context``; blanks stand before a text."""
+        chars = context[-3:] + char
+        found = self._memo.get(chars)
+        if found is None:
+            if len(self._memo) > MEMO_GRAMS:
+                self._memo.clear()
+            found = self._memo[chars] = self._log(chars)
+        return found
+
+    def _log(self, chars: str) -> float:
         gram = 0
-        for c in (context[-3:] + char).rjust(4):
+        for c in chars.rjust(4):
             gram = gram << 16 | (ord(c) & 0xFFFF)
         total = 0.0
         for order in range(langid.ORDER, 0, -1):
@@ -119,9 +132,11 @@ def readings(token: str, apart: bool = False) -> list[list[tuple[str, float]]]:
     lattice = []
     for run in _RUN.finditer(token):
         sign, size = run.group(1), len(run.group(0))
-        if sign.isalpha():
+        if size == 1 and sign.isalpha():
+            lattice.append([(sign, 0.0)])
+        elif sign.isalpha():
             ways = [(sign * min(size, 2), 0.0), (sign, 0.0 if size > 2 else _LOG["halved"])]
-            lattice.append(ways[: 1 if size == 1 else 2])
+            lattice.append(ways)
         elif sign == " " and apart:
             lattice.append([("", 0.0), (" ", _LOG["space"])])
         else:
@@ -143,6 +158,14 @@ def decode(lattice: list[list[tuple[str, float]]], model: CharacterModel) -> str
     states = {"   ": (0.0, "")}
     for ways in lattice:
         after: dict[str, tuple[float, str]] = {}
+        if len(ways) == 1 and len(ways[0][0]) == 1:
+            char, log = ways[0]
+            for context, (score, text) in states.items():
+                own, total = context[1:] + char, score + log + model.log(context, char)
+                if own not in after or total > after[own][0]:
+                    after[own] = (total, text + char)
+            states = after
+            continue
         for context, (score, text) in states.items():
             for string, log in ways:
                 own, total = context, score + log
@@ -234,10 +257,11 @@ class Scorer:
         """All restored words as ``<one><two>``, those of letters set apart once more at the end."""
         lowered = (text or "").lower()
         tokens = lowered.split()
+        # Letters, points and commas after them aside, none of which is doubled, are a word as they are.
         if _TWICE.search(lowered):
-            words = [t if t.isalpha() and not _TWICE.search(t) else self._edged(t) for t in tokens]
+            words = [c if (c := t.rstrip(".,")).isalpha() and not _TWICE.search(c) else self._edged(t) for t in tokens]
         else:
-            words = [t if t.isalpha() else self._edged(t) for t in tokens]
+            words = [c if (c := t.rstrip(".,")).isalpha() else self._edged(t) for t in tokens]
         if sum(map((1).__eq__, map(len, tokens))) > 2:
             for m in _APART.finditer(" ".join(tokens)):
                 words += decode(readings(m.group(0), apart=True), self.characters).split()

@@ -57,6 +57,19 @@ def test_tokens_of_signs_are_read_only_if_they_spell_something(scorer):
     assert all(w is None or w.isalpha() for w in words.values())
 
 
+def test_nothing_is_read_twice_and_plain_words_not_at_all(scorer, monkeypatch):
+    """A point after a word is no reason to decode it, and four characters are looked up in the model once."""
+    tokens, looked_up = [], []
+    read, look_up = toxicity.restored_token, toxicity.CharacterModel._log
+    monkeypatch.setattr(toxicity, "restored_token", lambda t, m: tokens.append(t) or read(t, m))
+    monkeypatch.setattr(toxicity.CharacterModel, "_log", lambda self, c: looked_up.append(c) or look_up(self, c))
+    own = toxicity.Scorer(scorer.characters)
+    own.characters._memo.clear()
+    assert own.words("Plain, words. 1d10t 1d10t; here.") == "<plain><words><idiot><idiot><here>"
+    assert tokens == ["1d10t", "1d10t;"]
+    assert len(looked_up) == len(set(looked_up)) > 0
+
+
 def test_long_tokens_are_decoded_in_pieces(scorer, monkeypatch):
     monkeypatch.setattr(toxicity, "LONGEST", 5)
     assert toxicity.restore("1d10t" * 40, scorer.characters) == "idiot" * 40
