@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -98,3 +99,22 @@ def test_long_texts_are_read_in_slices(frame, monkeypatch):
     rows = [(1, "the thin thing " * 40, None, "en"), (2, "das ist ein Haus " * 40, None, "de")]
     docs = frame(rows)
     assert {r.doc_id: r.lang_pred for r in langid.predict(docs, langid.train(docs)).collect()} == {1: "en", 2: "de"}
+
+
+def test_all_training_texts_calibrate(frame, monkeypatch):
+    """Also when there was a bound on their number; equal rows count once."""
+    monkeypatch.setattr(langid, "CALIBRATION_TEXTS", 5, raising=False)
+    rng = random.Random(2)
+    words = {"en": "the thin thing then nothing in a tent".split(), "de": "das ist ein Haus und der Hund dort".split()}
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randint(1, 30))), None, lang) for i, lang in enumerate(("en", "de") * 20)]
+    rows += [(50, "123", None, "de"), (None, "zzz the", None, "en"), (None, "zzz the", None, "de")]
+    model = langid.train(frame(rows + 3 * rows[:3]))
+    measured = [r for r in rows if r[1] != "123"]
+    entropies, _ = model.cross_entropies([r[1] for r in measured])
+    truth = np.array([model.languages.index(r[3]) for r in measured])
+    for k in range(len(model.languages)):
+        own = entropies[truth == k, k]
+        assert model.limits[k] == pytest.approx(own.mean() + langid.REJECT_DEVIATIONS * own.std(), abs=1e-4)
+    right = np.arange(len(truth)), truth
+    losses = {s: -np.log(np.maximum(langid._posteriors(entropies, s)[right], 1e-9)).mean() for s in (1, 2, 4, 8, 16, 32, 64)}
+    assert model.sharpness == min(losses, key=losses.get)
